@@ -252,3 +252,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, h
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     label = placed.join(smallest, "root").select("fp", "component_id")
     return fps.join(label, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET) -> DataFrame:
+    """docs with one row of each component: that of the smallest doc_id (of rows equal in it, any one)."""
+    labels = near_duplicates(docs, width, budget)
+    survivors = labels.select(F.col("component_id").alias("__id")).distinct()
+    return docs.join(survivors, docs["doc_id"].eqNullSafe(survivors["__id"]), "left_semi").dropDuplicates(["doc_id"])
