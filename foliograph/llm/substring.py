@@ -75,14 +75,16 @@ def repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFr
     """doc_id, body_key, spans: the words (half-open, unmerged) of each document that earlier documents' windows cover."""
     later = (F.col("doc_id") > F.col("first")) | F.col("doc_id").isNull()
     runs = keep(_runs(docs, width, min(anchor, width)), "runs")
-    anchors = _elsewhere(runs, ["anchor"], (F.min("content") != F.max("content")).alias("mixed"))
+    # both sides of a join are tables, so that Spark sees a hot key's size and splits it
+    anchors = keep(_elsewhere(runs, ["anchor"], (F.min("content") != F.max("content")).alias("mixed")), "anchors")
     found = keep(runs.join(anchors, "anchor").where(F.col("mixed") | later).select("doc_id", "body_key", "start", "n", "mixed"), "anchored")
     whole = found.where("not mixed").select("doc_id", "body_key", "start", (F.col("start") + F.col("n") - 1 + width).alias("end"))
     wanted = found.where("mixed").groupBy("doc_id", "body_key").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     all_docs = numbered(docs)
     texts = all_docs.join(wanted, same_row(all_docs, wanted)).select(all_docs["doc_id"], all_docs["body_key"], "body", "runs")
     windows = keep(_windows(texts, docs, width), "windows")
-    single = windows.join(_elsewhere(windows, ["h1", "h2"]), ["h1", "h2"]).where(later)
+    again = keep(_elsewhere(windows, ["h1", "h2"]), "repeated-windows")
+    single = windows.join(again, ["h1", "h2"]).where(later)
     single = single.select("doc_id", "body_key", "start", (F.col("start") + width).alias("end"))
     return whole.unionByName(single).groupBy("doc_id", "body_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
