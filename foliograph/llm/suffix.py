@@ -203,7 +203,7 @@ def _by_count(texts: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=fields)
 
     windows = keep(texts.dropDuplicates(["anchor", "content"]).mapInArrow(run, T.StructType([T.StructField(n, T.LongType()) for n in fields])), "hot-windows")
-    again = windows.groupBy("h1", "h2").agg(F.sum("times").alias("all")).where("all > 1")
+    again = keep(windows.groupBy("h1", "h2").agg(F.sum("times").alias("all")).where("all > 1"), "repeated-windows")
     return windows.join(again, ["h1", "h2"]).select("anchor", "content", F.col("at").alias("from"), F.col("at").alias("to"))
 
 
@@ -211,7 +211,9 @@ def repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int
     """doc_id, body_key, spans: the bytes (half-open, unmerged) of each document that repeated strings cover."""
     runs = keep(_runs(docs, width, min(anchor, width)), "runs")
     counts = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("all"), (F.min("content") != F.max("content")).alias("mixed"))
-    found = keep(runs.join(counts.where("all > 1").drop("all"), "anchor"), "anchored")
+    # both sides of a join are tables, so that Spark sees a hot key's size and splits it
+    counts = keep(counts.where("all > 1").drop("all"), "anchors")
+    found = keep(runs.join(counts, "anchor"), "anchored")
     # of each different run: how often, and one place
     each = found.where("mixed").groupBy("anchor", "content").agg(
         F.count(F.lit(1)).alias("times"), F.min(F.struct(F.col("doc_id"), F.col("body_key"), F.col("start"), F.col("n"), F.col("left"))).alias("x")
@@ -226,7 +228,7 @@ def repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int
     several = each.where("times > 1").select("anchor", "content", F.lit(0).cast("long").alias("from"), (F.col("n") - 1).alias("to"))
     once = each.where("times = 1").select("anchor", "content")
     ranges = several.unionByName(ranges.join(once, ["anchor", "content"], "left_semi"))
-    ranges = ranges.groupBy("anchor", "content").agg(F.collect_list(F.struct("from", "to")).alias("r"))
+    ranges = keep(ranges.groupBy("anchor", "content").agg(F.collect_list(F.struct("from", "to")).alias("r")), "ranges")
     part = found.where("mixed").join(ranges, ["anchor", "content"]).select("doc_id", "body_key", "start", F.explode("r").alias("r"))
     part = part.select("doc_id", "body_key", (F.col("start") + F.col("r.from")).alias("start"), (F.col("start") + F.col("r.to") + width).alias("end"))
     whole = found.where("not mixed").select("doc_id", "body_key", "start", (F.col("start") + F.col("n") - 1 + width).alias("end"))
