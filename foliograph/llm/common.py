@@ -66,6 +66,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_and_text(docs: DataFrame) -> DataFrame:
     """doc_id and the text as bytes (null: empty); other columns go, whatever their names."""
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("body"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import WORD_BYTES, id_and_text, merged
+from foliograph.llm.common import WORD_BYTES, fresh, id_and_text, merged
 
 WIDTH, SHARD, BLOCK_BYTES, SAMPLE = 8, 1_000_000, 16 << 20, 8
 SPAN = T.StructType([T.StructField("start", T.LongType(), False), T.StructField("end", T.LongType(), False)])
@@ -274,14 +274,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH, least_i
     """
     blocks = _blocks(items, width)
     word = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    name = fresh(docs, "body")
+
+    def clean(text: str, spans: list[tuple[int, int]]) -> str:
+        """Cut until nothing is hit: what a cut brings together may be a phrase again."""
+        while spans:
+            text = _cut(word, text, spans)
+            spans = _search_shard([text.encode().translate(WORD_BYTES).split()], blocks)[0][0]
+        return text
 
     def run(batches):
-        for part, words in _shards((_with_bytes(b) for b in batches), SHARD, "__body"):
+        for part, words in _shards((_with_bytes(b, name) for b in batches), SHARD, name):
             found = _search_shard(words, blocks)
-            part = part.drop_columns(["__body"])
+            part = part.drop_columns([name])
             if any(i for _, i in found):
                 at = part.schema.get_field_index("text")
-                texts = [_cut(word, t, s) if s else t for t, (s, _) in zip(part["text"].to_pylist(), found)]
+                texts = [clean(t, s) if s and len(i) < least_items else t for t, (s, i) in zip(part["text"].to_pylist(), found)]
                 part = part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
                 part = part.filter(pa.array([len(i) < least_items for _, i in found]))
             if part.num_rows:
@@ -290,9 +298,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH, least_i
     return docs.mapInArrow(run, docs.schema)
 
 
-def _with_bytes(batch: pa.RecordBatch) -> pa.RecordBatch:
+def _with_bytes(batch: pa.RecordBatch, name: str) -> pa.RecordBatch:
     text = batch["text"]
-    return batch.append_column("__body", text.cast(pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary()))
+    return batch.append_column(name, text.cast(pa.large_binary() if pa.types.is_large_string(text.type) else pa.binary()))
 
 
 def _cut(word: re.Pattern, text: str, spans: list[tuple[int, int]]) -> str:

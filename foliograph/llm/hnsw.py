@@ -227,7 +227,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, room: int = SEARCH
 
     def close() -> None:
         ids = np.array([r.vec_id for r in held], dtype=np.int64)
-        found.append(look(sc.broadcast((ids, np.array([r.embedding for r in held], dtype=np.float64).reshape(len(ids), -1)))))
+        q = np.array([r.embedding for r in held], dtype=np.float64) if held else np.empty((0, 1))
+        found.append(look(sc.broadcast((ids, q))))
         held.clear()
 
     for row in queries.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").toLocalIterator():

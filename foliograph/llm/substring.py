@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import ROLLS, Sums, hash_words, keep, merged, numbered, record_batch, same_row, segments
+from foliograph.llm.common import ROLLS, Sums, fresh, hash_words, keep, merged, numbered, record_batch, same_row, segments
 
 WIDTH, ANCHOR = 50, 20
 
@@ -89,11 +89,13 @@ def repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR) -> DataFr
     return whole.unionByName(single).groupBy("doc_id", "body_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
-def _joined(docs: DataFrame, width: int) -> DataFrame:
-    """docs, as they are, with the spans to be removed in __spans."""
-    spans = repeats(docs, width).withColumnsRenamed({"doc_id": "__id", "body_key": "__key", "spans": "__spans"})
+def _joined(docs: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """docs, as they are, with the spans to be removed in one more column, and its name."""
+    name = fresh(docs, "spans")
+    spans = repeats(docs, width)
     key = F.xxhash64(F.coalesce(docs["text"], F.lit("")).cast("binary"))
-    return docs.join(spans, docs["doc_id"].eqNullSafe(spans["__id"]) & (key == spans["__key"]), "left").select(*[docs[f"`{c}`"] for c in docs.columns], "__spans")
+    joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["doc_id"]) & (key == spans["body_key"]), "left")
+    return joined.select(*[docs[f"`{c}`"] for c in docs.columns], spans["spans"].alias(name)), name
 
 
 def _kept_words(body: bytes, spans: list[dict]) -> tuple[list[bytes], int]:
@@ -114,28 +116,29 @@ def digest(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def run(batches):
         for batch in batches:
             out = []
-            for body, spans in zip(batch["body"], batch["__spans"].to_pylist()):
+            for body, spans in zip(batch["body"], batch["spans"].to_pylist()):
                 kept, n = _kept_words(body.as_py(), spans)
                 out.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
             n, gone, sha = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    rows = _joined(docs.select("doc_id", "text"), width)
-    return rows.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("body"), "__spans").mapInArrow(run, schema)
+    rows, _ = _joined(docs.select("doc_id", "text"), width)
+    return rows.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("body"), "spans").mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """docs with the repeated words cut out of text, kept words one blank apart; untouched texts stay as they are."""
+    joined, name = _joined(docs, width)
 
     def run(batches):
         for batch in batches:
-            spans = batch["__spans"].to_pylist()
-            batch = batch.drop_columns(["__spans"])
+            spans = batch[name].to_pylist()
+            batch = batch.drop_columns([name])
             if any(spans):
                 at = batch.schema.get_field_index("text")
                 texts = [t if not s else b" ".join(_kept_words(t.encode(), s)[0]).decode() for t, s in zip(batch["text"].to_pylist(), spans)]
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch
 
-    return _joined(docs, width).mapInArrow(run, docs.schema)
+    return joined.mapInArrow(run, docs.schema)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import id_and_text, keep
+from foliograph.llm.common import fresh, id_and_text, keep
 
 THRESHOLD, SAMPLE, TERMS, KNOWN = 0.3, 20_000, 2000, 200_000
 SHORTEST, LONGEST, WINDOW = 4, 14, 6
@@ -254,9 +254,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dic
 
 
 def score(docs: DataFrame, terms: dict[str, bool], weights: np.ndarray, threshold: float = THRESHOLD, keep_columns: list[str] | None = None) -> DataFrame:
-    """doc_id (or keep_columns), score, predicted."""
+    """doc_id (or keep_columns), then the score and the prediction."""
     shared = docs.sparkSession.sparkContext.broadcast((terms, weights))
     names = keep_columns or ["doc_id"]
+    added = [fresh(docs, "__score"), fresh(docs, "__predicted")]
 
     def run(batches):
         terms, w = shared.value
@@ -264,9 +265,9 @@ def score(docs: DataFrame, terms: dict[str, bool], weights: np.ndarray, threshol
         for batch in batches:
             x = np.array([lexicon.features(t.as_py() or "") for t in batch["text"]], dtype=float).reshape(-1, WIDTH)
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*names, "__score", "__predicted"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*names, *added])
 
-    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("__score", T.DoubleType()), T.StructField("__predicted", T.IntegerType())])
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(added[0], T.DoubleType()), T.StructField(added[1], T.IntegerType())])
     rows = docs.select(*names) if "text" in names else docs.select(*names, "text")
     return rows.mapInArrow(run, schema)
 
@@ -274,13 +275,15 @@ def score(docs: DataFrame, terms: dict[str, bool], weights: np.ndarray, threshol
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     terms, weights = train(docs, labels)
     rows = score(docs, terms, weights)
-    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+    p, predicted = rows.columns[-2:]
+    return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(p).alias("score"), F.col(predicted).alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """docs without those predicted toxic."""
     terms, weights = train(docs, labels)
-    return score(docs, terms, weights, keep_columns=docs.columns).where("__predicted = 0").select(*docs.columns)
+    rows = score(docs, terms, weights, keep_columns=docs.columns)
+    return rows.where(F.col(rows.columns[-1]) == 0).drop(*rows.columns[-2:])
 
 
 def crc_held_out(doc_id: int) -> bool:
