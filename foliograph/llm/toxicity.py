@@ -3,14 +3,15 @@
 The lexicon is a trie of terms and stems: a short list of common insults, and the word beginnings that set the
 labelled toxic documents apart. A word matches a term exactly, as an inflection of a stem, or misspelled: the word's
 Levenshtein automaton (one row of edit distances for each trie node, pruned when every entry passes the allowance)
-walks the trie. A word enters the walk only where one half of a term stands unchanged at its place in the word, which
-an allowance of one error implies. Every match looks at its context window: quotation marks around it, or a word of
+walks the trie. A word enters the walk only if it and a term become equal by leaving out one letter or none, which an
+allowance of one error implies. Every match looks at its context window: quotation marks around it, or a word of
 reporting before it, make it a quotation. The counts of each kind, by themselves and for the document's length, are
 the features of a logistic regression.
 
 The classifier is fitted on at most `sample` labelled rows (the smallest hashes of doc_id among those that are not
-held out), the lexicon on word beginnings that Spark counts over the same rows; at most `terms` of them reach the
-driver. Scoring reads every whole text. Labels, lang, source and doc_id are no inputs of a score.
+held out), of which near copies count once (rows that share the smallest of their three-word shingles' hashes, for three
+hash functions in turn); the lexicon on word beginnings that Spark counts over the same rows. At most `terms` of those
+reach the driver. Scoring reads every whole text. Labels, lang, source and doc_id are no inputs of a score.
 
 Defined results. Null or empty text: no match, the score of such documents. No labels or only one class: the built-in
 list alone, with fixed weights. Null labels are ignored, conflicting ones count each; a null doc_id is scored and not
@@ -24,13 +25,14 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliograph.llm.common import fresh, id_and_text, keep
 
-THRESHOLD, SAMPLE, TERMS, KNOWN = 0.3, 20_000, 2000, 200_000
+THRESHOLD, SAMPLE, TERMS, KNOWN = 0.3, 20_000, 2000, 1_000_000
 SHORTEST, LONGEST, WINDOW = 4, 14, 6
 INSULTS = """
     idiot moron clown loser scum trash pathetic worthless disgusting stupid imbecile cretin dumbass bastard
@@ -48,21 +50,32 @@ class Node:
         self.next, self.term, self.stem = {}, None, False
 
 
+def less_one(word: str) -> set[str]:
+    """The word, and the word without each of its letters."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
 class Lexicon:
     """A trie of terms; a stem also matches what goes on after it."""
 
     def __init__(self, terms: dict[str, bool]):
         self.root, self.terms = Node(), terms
-        self.heads, self.tails = {}, {}
+        self.deletes: set[str] = set()
+        self.stem_deletes: dict[int, set[str]] = {}
+        self.heads: dict[int, set[str]] = {2: set(), 3: set()}
+        self.middles: dict[int, set[str]] = {2: set(), 3: set()}
         for term, stem in terms.items():
             node = self.root
             for c in term:
                 node = node.next.setdefault(c, Node())
             node.term, node.stem = term, stem or node.stem
             if len(term) > SHORTEST:
-                half = len(term) // 2
-                self.heads.setdefault(half, set()).add(term[:half])
-                self.tails.setdefault((half, len(term) - half), set()).add(term[half:])
+                self.deletes |= less_one(term)
+                n = 2 if len(term) == SHORTEST + 1 else 3
+                self.heads[n].add(term[:n])
+                self.middles[n].add(term[n : n + 3])
+                if stem:
+                    self.stem_deletes.setdefault(len(term), set()).update(less_one(term))
         self.known: dict[str, int] = {}
 
     def exact(self, word: str) -> bool:
@@ -75,11 +88,21 @@ class Lexicon:
                 return True
         return node.term is not None
 
-    def _halves(self, word: str) -> bool:
-        """Whether half of a term stands in the word where one error leaves it."""
-        if any(word[:n] in s for n, s in self.heads.items()):
+    def _near(self, word: str) -> bool:
+        """Whether one error can lie between a term and the word, or its beginning for a stem.
+
+        An error behind a term's first letters leaves those as they are; one among them leaves the next three where they
+        were or a place off. Then, both must become equal by leaving out one letter or none.
+        """
+        for n in (2, 3):
+            middles = self.middles[n]
+            if word[:n] in self.heads[n] or word[n - 1 : n + 2] in middles or word[n : n + 3] in middles or word[n + 1 : n + 4] in middles:
+                break
+        else:
+            return False
+        if not self.deletes.isdisjoint(less_one(word)):
             return True
-        return any(word[at : at + n] in s for (half, n), s in self.tails.items() for at in (half - 1, half, half + 1))
+        return any(not found.isdisjoint(less_one(word[:n])) for size, found in self.stem_deletes.items() for n in (size - 1, size, size + 1))
 
     def misspelled(self, word: str) -> bool:
         """Levenshtein automaton of the word over the trie, with one error for terms of more than SHORTEST letters."""
@@ -106,7 +129,7 @@ class Lexicon:
         if k is None:
             if len(self.known) >= KNOWN:
                 self.known.clear()
-            k = 2 if self.exact(word) else 1 if len(word) >= SHORTEST and self._halves(word) and self.misspelled(word) else 0
+            k = 2 if self.exact(word) else 1 if len(word) >= SHORTEST and self._near(word) and self.misspelled(word) else 0
             self.known[word] = k
         return k
 
@@ -157,7 +180,24 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     few = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     few = few.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     # at most `sample` rows of two numbers
-    return id_and_text(docs).join(F.broadcast(few), "doc_id")
+    rows = id_and_text(docs).join(F.broadcast(few), "doc_id").select("body", "toxic")
+
+    def sign(batches):
+        for batch in batches:
+            marks = np.array([_marks(b.as_py()) for b in batch["body"]], dtype=np.uint64).reshape(-1, 3).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["body"], batch["toxic"], *(pa.array(m) for m in marks.T)], names=["body", "toxic", "m0", "m1", "m2"])
+
+    rows = rows.mapInArrow(sign, "body binary, toxic int, m0 long, m1 long, m2 long")
+    for mark in ("m0", "m1", "m2"):
+        rows = rows.dropDuplicates(["toxic", mark])
+    return rows.select("body", "toxic")
+
+
+def _marks(body: bytes) -> tuple[int, int, int]:
+    """The smallest hash of the text's three-word shingles under three functions."""
+    words = body.lower().split()
+    shingles = {b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+    return tuple(min(xxhash.xxh3_64_intdigest(s, seed) for s in shingles) for seed in (1, 2, 3))
 
 
 def _beginnings(rows: DataFrame) -> DataFrame:
@@ -195,7 +235,7 @@ def learn_terms(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
     bad, good = total[0] or 0, total[1] or 0
     if bad < 20 or good < 20:
         return {}
-    least = max(4, round(0.004 * bad))
+    least = max(8, round(0.01 * bad))
     lift = (F.col("toxic") / bad) / ((F.col("clean") + 0.5) / good)
     found = _beginnings(rows).where((F.col("toxic") >= least) & (lift >= 25))
     out: dict[str, bool] = {}
@@ -219,17 +259,28 @@ def learn_terms(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
     return out
 
 
+#: Features that speak for toxicity; they never count against it.
+FOR = (1, 2, 4, 6)
+
+
 def fit(features: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
-    """Logistic regression by Newton steps."""
-    w = np.zeros(features.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
-        s = p * (1 - p) + 1e-6
-        step = np.linalg.solve(features.T @ (features * s[:, None]) + ridge * np.eye(len(w)), features.T @ (y - p) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
+    """Logistic regression by Newton steps; a feature of FOR that comes out negative is left out and the rest fitted anew."""
+    use = list(range(features.shape[1]))
+    while True:
+        x, w = features[:, use], np.zeros(len(use))
+        for _ in range(rounds):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            s = p * (1 - p) + 1e-6
+            step = np.linalg.solve(x.T @ (x * s[:, None]) + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+            w += step
+            if np.abs(step).max() < 1e-6:
+                break
+        bad = [k for k, v in zip(use, w) if k in FOR and v < 0]
+        if not bad:
+            out = np.zeros(features.shape[1])
+            out[use] = w
+            return out
+        use = [k for k in use if k not in bad]
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dict[str, bool], np.ndarray]:
