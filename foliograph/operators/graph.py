@@ -27,7 +27,7 @@ def section_nodes(sections: DataFrame) -> DataFrame:
 
 
 def root_nodes(sections: DataFrame) -> DataFrame:
-    return sections.select("doc_id").distinct().select(F.concat(F.col("doc_id"), F.lit(":root")).alias("node_id"), "doc_id", F.lit("doc_root").alias("node_type"))
+    return sections.select("doc_id").distinct().select(F.concat(F.col("doc_id"), F.lit(":doc_root")).alias("node_id"), "doc_id", F.lit("doc_root").alias("node_type"))
 
 
 def paragraph_nodes(elements: DataFrame, forced: DataFrame | None = None) -> DataFrame:
@@ -51,7 +51,7 @@ def hierarchy_edges(anchors: DataFrame) -> DataFrame:
     last = lambda kind, c: F.last(F.when(F.col("anchor_type") == kind, F.col(c)), ignorenulls=True).over(before)
     d = anchors.withColumn("n", F.row_number().over(w))
     d = d.withColumns({"sec": last("section", "node_id"), "sec_n": last("section", "n"), "box": last("box", "node_id"), "box_n": last("box", "n")})
-    root = F.concat(F.col("doc_id"), F.lit(":root"))
+    root = F.concat(F.col("doc_id"), F.lit(":doc_root"))
     box = F.when(F.col("box_n") > F.coalesce("sec_n", F.lit(0)), F.col("box"))
     parent = F.when(F.col("anchor_type") == "section", root).when(F.col("anchor_type") == "box", F.coalesce("sec", root)).otherwise(F.coalesce(box, F.col("sec"), root))
     return make_edges(d.select("node_id", parent.alias("parent")), "parent_of", "parent", "node_id")
@@ -74,7 +74,7 @@ def paragraph_edges(paragraphs: DataFrame, nodes: DataFrame) -> DataFrame:
     """parent_of from a paragraph's anchor, or from the root at confidence 0.5 where the anchor is no node."""
     known = nodes.select("node_id").withColumnRenamed("node_id", "parent").distinct()
     d = paragraphs.withColumn("parent", F.concat_ws(":", "doc_id", "anchor_id")).join(known.withColumn("__known", F.lit(True)), "parent", "left")
-    parent = F.when(F.col("__known"), F.col("parent")).otherwise(F.concat(F.col("doc_id"), F.lit(":root")))
+    parent = F.when(F.col("__known"), F.col("parent")).otherwise(F.concat(F.col("doc_id"), F.lit(":doc_root")))
     return make_edges(d.withColumn("parent", parent), "parent_of", "parent", "node_id", confidence=F.when(F.col("__known"), 1.0).otherwise(0.5))
 
 
@@ -214,3 +214,62 @@ def polarity_conflicts(edges: DataFrame) -> DataFrame:
     no = edges.where("edge_type = 'excludes'").select(*pair).distinct()
     yes = edges.where(F.col("edge_type").isin("includes", "aggregates")).select(*pair).distinct()
     return no.intersect(yes)
+
+
+def children(edges: DataFrame, node: str) -> DataFrame:
+    """Targets of a node's parent_of edges."""
+    return edges.where((F.col("edge_type") == "parent_of") & (F.col("source_node_id") == node)).select(F.col("target_node_id").alias("node_id"))
+
+
+def reading_sequence(edges: DataFrame, start: str, most: int = 10_000) -> DataFrame:
+    """node_id and step along follows from a node, by doubling (D2); a circle ends where it closes."""
+    hop = settled(edges.where("edge_type = 'follows'").select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("next")).distinct())
+    seen = settled(edges.sparkSession.createDataFrame([(start, 0)], "node_id string, step int"))
+    reach = 1
+    while reach <= most:
+        more = seen.join(hop, "node_id").select(F.col("next").alias("node_id"), (F.col("step") + reach).alias("step"))
+        new = settled(more.join(seen.select("node_id"), "node_id", "left_anti"))
+        if new.isEmpty():
+            break
+        seen = seen.unionByName(new)
+        on = hop.select(F.col("node_id").alias("next"), F.col("next").alias("top"))
+        hop, reach = settled(hop.join(on, "next").select("node_id", F.col("top").alias("next"))), 2 * reach
+    return seen
+
+
+def same_field(left: DataFrame, right: DataFrame) -> DataFrame:
+    """same_field edges between two documents' nodes of equal canonical id."""
+    a = left.where("canonical_id is not null").select("canonical_id", F.col("node_id").alias("x"))
+    b = right.where("canonical_id is not null").select("canonical_id", F.col("node_id").alias("y"))
+    return make_edges(a.join(b, "canonical_id").where("x <> y"), "same_field", "x", "y")
+
+
+def precedence_order(rules: DataFrame, precedences: DataFrame, rounds: int = 1000) -> DataFrame:
+    """rule and level: those that nothing active precedes come first, then those they alone preceded, and so on.
+
+    precedences: higher, lower, active, revived. Active edges count; revived ones that lie on a cycle are cut first.
+    What stays on a cycle has no level.
+    """
+    e = precedences.where("active").select(F.col("higher").alias("source_node_id"), F.col("lower").alias("target_node_id"), F.coalesce("revived", F.lit(False)).alias("revived"))
+    circle = cycle_nodes(e)
+    on = e.join(circle.withColumnRenamed("node_id", "source_node_id"), "source_node_id", "left_semi").join(circle.withColumnRenamed("node_id", "target_node_id"), "target_node_id", "left_semi").where("revived")
+    e = settled(e.join(on.select("source_node_id", "target_node_id"), ["source_node_id", "target_node_id"], "left_anti").select("source_node_id", "target_node_id"))
+    left, out, level = settled(rules.select("rule").distinct()), None, 0
+    while level < rounds:
+        free = settled(left.join(e.select(F.col("target_node_id").alias("rule")), "rule", "left_anti").withColumn("level", F.lit(level)))
+        if free.isEmpty():
+            break
+        out = free if out is None else out.unionByName(free)
+        left = settled(left.join(free, "rule", "left_anti"))
+        e = settled(e.join(free.select(F.col("rule").alias("source_node_id")), "source_node_id", "left_anti"))
+        level += 1
+    ranked = out if out is not None else left.withColumn("level", F.lit(0)).limit(0)
+    return rules.select("rule").distinct().join(ranked, "rule", "left")
+
+
+def skeleton_limits(nodes: DataFrame, edges: DataFrame, depth: int = 5) -> DataFrame:
+    """One row: deepest step from a root and share of references among other edges (Q14)."""
+    top = nodes.where("node_type = 'doc_root'").select("node_id")
+    deep = reachable(edges.where("edge_type = 'parent_of'"), top).agg(F.max("steps").alias("depth"))
+    share = edges.where("edge_type not in ('parent_of', 'follows', 'in_section')").agg((F.count_if(F.col("edge_type") == "references_box") / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("reference_share"))
+    return deep.join(share).withColumn("passed", (F.col("depth") <= depth) & (F.col("reference_share") < 0.8))

@@ -388,7 +388,7 @@ GRAPH = f"{I.NODES}, {I.EDGES}"
 
 @query("e2_hierarchy_edges", """WITH a AS (SELECT 'd' || user_id AS doc_id, 'n' || event_id AS node_id, CASE event_type WHEN 'signup' THEN 'section' WHEN 'purchase' THEN 'box' ELSE 'subsection' END AS anchor_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
 l AS (SELECT *, last_value(CASE WHEN anchor_type = 'section' THEN node_id END IGNORE NULLS) OVER w AS sec, coalesce(last_value(CASE WHEN anchor_type = 'section' THEN p END IGNORE NULLS) OVER w, 0) AS sp, last_value(CASE WHEN anchor_type = 'box' THEN node_id END IGNORE NULLS) OVER w AS box, last_value(CASE WHEN anchor_type = 'box' THEN p END IGNORE NULLS) OVER w AS bp FROM a WINDOW w AS (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT node_id AS child, CASE anchor_type WHEN 'section' THEN doc_id || ':root' WHEN 'box' THEN coalesce(sec, doc_id || ':root') ELSE coalesce(CASE WHEN bp > sp THEN box END, sec, doc_id || ':root') END AS parent FROM l""")
+SELECT node_id AS child, CASE anchor_type WHEN 'section' THEN doc_id || ':doc_root' WHEN 'box' THEN coalesce(sec, doc_id || ':doc_root') ELSE coalesce(CASE WHEN bp > sp THEN box END, sec, doc_id || ':doc_root') END AS parent FROM l""")
 def _(spark, sf):
     t = F.col("event_type")
     d = I.read(spark, sf, "events").select(F.concat(F.lit("d"), F.col("user_id").cast("string")).alias("doc_id"), F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("node_id"), F.when(t == "signup", "section").when(t == "purchase", "box").otherwise("subsection").alias("anchor_type"), F.struct("ts", "event_id").alias("position"))
@@ -408,7 +408,7 @@ def _(spark, sf):
     return G.in_section_edges(d).select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("sec"))
 
 
-@query("e5_paragraph_parents", """SELECT 'd:o' || o_orderkey AS node_id, CASE WHEN c_custkey IS NOT NULL THEN 'd:c' || o_custkey ELSE 'd:root' END AS parent, CASE WHEN c_custkey IS NOT NULL THEN 1.0 ELSE 0.5 END::DOUBLE AS confidence FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0) ON c_custkey = o_custkey""")
+@query("e5_paragraph_parents", """SELECT 'd:o' || o_orderkey AS node_id, CASE WHEN c_custkey IS NOT NULL THEN 'd:c' || o_custkey ELSE 'd:doc_root' END AS parent, CASE WHEN c_custkey IS NOT NULL THEN 1.0 ELSE 0.5 END::DOUBLE AS confidence FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0) ON c_custkey = o_custkey""")
 def _(spark, sf):
     name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     known = I.read(spark, sf, "customer").where("c_custkey % 3 <> 0").select(name("d:c", "c_custkey").alias("node_id"))
@@ -774,8 +774,12 @@ def _(spark, sf):
 
 
 def queries() -> dict[str, Query]:
+    from foliograph.plans import catalog_more  # noqa: F401 - it adds its own
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from foliograph.plans import catalog_more  # noqa: F401
+
     return dict(_sql)
