@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from foliograph.operators.mentions import constraints, references, sentence_index
+from foliograph.sources.scratch import settled
 
 
 def element_stream(spark: SparkSession, folder: str, schema: StructType | str, files: int = 100) -> DataFrame:
@@ -41,7 +42,8 @@ def per_document(stream: DataFrame, history: Callable[[], DataFrame], compute: C
         rest = batch.sparkSession.read.parquet(sink) if _has(batch.sparkSession, sink) else None
         if rest is not None:
             buckets = touched.select(F.pmod(F.xxhash64("doc_id"), F.lit(256)).alias("doc_bucket")).distinct()
-            out = rest.join(buckets, "doc_bucket", "left_semi").join(touched, "doc_id", "left_anti").unionByName(out).checkpoint()
+            out = rest.join(buckets, "doc_bucket", "left_semi").join(touched, "doc_id", "left_anti").unionByName(out)
+            out = settled(out)
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("doc_bucket").parquet(sink)
 
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
