@@ -47,6 +47,19 @@ def discard(df: DataFrame | None) -> None:
         _written[:] = [x for x in _written if x[1] != path]
 
 
+def mark() -> int:
+    """A place in the list of tables that keep() has written, for discard_since()."""
+    return len(_written)
+
+
+def discard_since(place: int, but: DataFrame) -> None:
+    """Delete the tables written after the mark, except `but`, once nothing reads them any more."""
+    own = getattr(but, "_foliograph_path", None)
+    for spark, path in [x for x in _written[place:] if x[1] != own]:
+        _delete(spark, path)
+        _written.remove((spark, path))
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
