@@ -10,7 +10,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliograph.functions import patterns as P
 from foliograph.functions import text as X
 from foliograph.functions.terms import bindings_table
 from foliograph.operators import claims as C
