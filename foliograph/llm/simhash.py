@@ -15,6 +15,7 @@ Repeated rows stay as rows. Empty tables give empty results. Other columns are n
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import discard, id_and_text, keep
+from foliograph.llm.common import discard, id_and_text, keep, mix
 
 WIDTH, BUDGET, SEED, BITS = 4, 4, 42, 64
 HOT, BATCH, PAIRS = 512, 400_000, 1_000_000
@@ -84,16 +85,21 @@ class Forest:
                 self.root = up
 
 
-def trie_join(keys: np.ndarray, fps: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+def trie_join(keys: np.ndarray, fps: np.ndarray, budget: int, judge=None) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links (indices) of the fingerprints within budget bits in each run of equal keys.
 
     keys and fps are sorted together and without repeats. A trie node at depth d is an interval of the sorted
-    fingerprints that agree in d bits; its children are the intervals of those with bit d clear and set.
+    fingerprints that agree in d bits; its children are the intervals of those with bit d clear and set. judge(x, y), if
+    given, decides at the leaves; fingerprints may then repeat in a key, and repeats are judged with their neighbours.
     """
     n = len(fps)
     forest = Forest(n)
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     lo, hi = first, np.append(first[1:], n)
+    judge = judge or (lambda x, y: np.bitwise_count(fps[x] ^ fps[y]) <= budget)
+    twin = np.flatnonzero((fps[1:] == fps[:-1]) & (keys[1:] == keys[:-1]))
+    twin = twin[judge(twin, twin + 1)]
+    forest.link(twin, twin + 1)
     big = hi - lo > 1
     stack = [(0, lo[big], hi[big], lo[big], hi[big], np.zeros(int(big.sum()), dtype=np.int8))]
     zeros: dict[int, np.ndarray] = {}
@@ -107,10 +113,15 @@ def trie_join(keys: np.ndarray, fps: np.ndarray, budget: int) -> tuple[np.ndarra
             a, b, c, d, bits, same = a[~one], b[~one], c[~one], d[~one], bits[~one], same[~one]
         leaf = (b - a == 1) & (d - c == 1)
         x, y = a[leaf & ~same], c[leaf & ~same]
-        near = np.bitwise_count(fps[x] ^ fps[y]) <= budget
+        near = judge(x, y)
         forest.link(x[near], y[near])
         a, b, c, d, bits, same = a[~leaf], b[~leaf], c[~leaf], d[~leaf], bits[~leaf], same[~leaf]
-        if not len(a) or depth == BITS:
+        if not len(a):
+            continue
+        if depth == BITS:  # runs of equal fingerprints
+            x, y = a[~same], c[~same]
+            near = judge(x, y)
+            forest.link(x[near], y[near])
             continue
         if len(a) > PAIRS:
             for at in range(0, len(a), PAIRS):
@@ -259,3 +270,112 @@ def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET) -> DataF
     labels = near_duplicates(docs, width, budget)
     survivors = labels.select(F.col("component_id").alias("__id")).distinct()
     return docs.join(survivors, docs["doc_id"].eqNullSafe(survivors["__id"]), "left_semi").dropDuplicates(["doc_id"])
+
+
+#: Words, similarity and words of 64 bits of the wider sketches; the chance that a pair just as similar is missed.
+WORDS, SIMILARITY, SKETCH, MISS = 5, 0.8, 4, 0.02
+
+
+def sketch(text: bytes, width: int = WORDS) -> np.ndarray:
+    """SKETCH independent fingerprints of 64 bits: one XXH64 for each shingle, scrambled in as many ways."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(SKETCH, dtype=np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    k = min(width, len(words))
+    starts = np.concatenate([[0], ends[: len(words) - k] + 1]).tolist()
+    digest = xxhash.xxh64_intdigest
+    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist())], dtype=np.uint64)
+    out = []
+    for way in range(1, SKETCH + 1):
+        mixed, counts = mix(h + np.uint64(way * 0x9E3779B97F4A7C15 % 2**64)), np.zeros(BITS, dtype=np.int64)
+        for at in range(0, len(h), 4096):
+            counts += np.unpackbits(mixed[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+        out.append(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
+    return np.array(out, dtype=np.uint64)
+
+
+def bit_budget(bits: int, similarity: float = SIMILARITY) -> float:
+    """Bits that the sketches of two texts of that Jaccard similarity differ in, on average."""
+    return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, crowd: int = 4096) -> DataFrame:
+    """a, b: links between doc_ids whose texts are about as similar, in shingles of width words, or more.
+
+    Pairs that near differ in too many of 64 bits for bands, so each sketch goes to several tables, keyed by some of its
+    256 bits, as many tables as leave a chance of MISS that a pair at the threshold meets in none. In a table's tries the
+    first 64 bits prune and all 256 judge. A crowded key is dealt again by more bits. The similarity is thus estimated,
+    with a standard error of about 0.03, and links are spanning forests.
+    """
+    names = [f"s{k}" for k in range(SKETCH)]
+
+    def run(batches):
+        for batch in batches:
+            x = np.array([sketch(b.as_py(), width) for b in batch["body"]], dtype=np.uint64).reshape(-1, SKETCH).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), *(pa.array(c) for c in x.T)], names=["doc_id", *names])
+
+    rows = id_and_text(docs).where("doc_id is not null").mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    rows = keep(rows, "sketches")
+    firsts = keep(rows.groupBy(*names).agg(F.min("doc_id").alias("doc_id")), "distinct-sketches")
+    same = rows.join(firsts.withColumnRenamed("doc_id", "first"), names).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    n = max(2, firsts.count())
+    agree = 1 - bit_budget(1, similarity)
+    chosen = max(10, math.ceil(math.log2(n / 32)))
+    rng = np.random.default_rng(SEED)
+
+    def tables(d: DataFrame, bits: int, many: int) -> DataFrame:
+        keys = []
+        for t in range(many):
+            picked = sorted(int(b) for b in rng.choice(SKETCH * BITS, bits, replace=False))
+            keys.append(F.xxhash64("key", F.lit(t), F.array(*[F.shiftrightunsigned(names[b // BITS], b % BITS).bitwiseAND(F.lit(1).cast("long")) for b in picked])))
+        return d.select("doc_id", *names, F.explode(F.array(*keys)).alias("key"))
+
+    level = tables(firsts.withColumn("key", F.lit(0).cast("long")), chosen, math.ceil(math.log(MISS) / math.log(1 - agree**chosen)))
+    out = [same]
+    for _ in range(4):
+        level = keep(level, "tables")
+        sizes = keep(level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "table-sizes")
+        out.append(_similar(level.join(sizes.where(F.col("n") <= crowd), "key", "left_semi"), names, similarity))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= crowd:
+            break
+        level = tables(level.join(sizes.where(F.col("n") > crowd), "key", "left_semi"), 8, 8)
+    return reduce(DataFrame.unionByName, out)
+
+
+def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:
+    most = int(bit_budget(SKETCH * BITS, similarity))
+    loose = int(bit_budget(BITS, similarity) + 3 * math.sqrt(BITS * 0.15 * 0.85))
+
+    def emit(keys, ids, s):
+        order = np.lexsort((s[:, 0], keys))
+        keys, ids, s = keys[order], ids[order], s[order]
+        judge = lambda x, y: np.bitwise_count(s[x] ^ s[y]).sum(axis=1, dtype=np.int32) <= most
+        x, y = trie_join(keys, np.ascontiguousarray(s[:, 0]), loose, judge)
+        return pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y])], names=["a", "b"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            s = np.stack([batch[n].to_numpy().view(np.uint64) for n in names], axis=1)
+            held.append((batch["key"].to_numpy(), batch["doc_id"].to_numpy(), s))
+            size += batch.num_rows
+            if size >= BATCH:
+                keys, ids, s = (np.concatenate(c) for c in zip(*held))
+                cut = int(np.searchsorted(keys, keys[-1]))
+                if cut:
+                    yield emit(keys[:cut], ids[:cut], s[:cut])
+                held, size = [(keys[cut:], ids[cut:], s[cut:])], len(keys) - cut
+        if size:
+            yield emit(*(np.concatenate(c) for c in zip(*held)))
+
+    return rows.select("key", "doc_id", *names).repartition("key").sortWithinPartitions("key").mapInArrow(run, LINKS)
+
+
+def keep_one_similar(docs: DataFrame) -> DataFrame:
+    """docs with one row of each group that near_duplicates() or similar_links() ties together: the smallest doc_id's."""
+    tight = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").cast("long").alias("a"), F.col("component_id").cast("long").alias("b"))
+    parts = components(tight.unionByName(similar_links(docs)))
+    gone = keep(parts.where("node <> root").select("node"), "near-copies")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["node"], "left_anti").dropDuplicates(["doc_id"])

@@ -380,3 +380,24 @@ def test_substring_dedup(spark, docs):
     assert substring.digest(spark.createDataFrame([], EMPTY)).count() == 0
     out = substring.remove_repeats(docs, 12)
     assert out.columns == docs.columns and out.count() == len(own)
+
+
+def test_similar_texts_leave_one(spark):
+    rng = random.Random(11)
+    made = []
+    for i in range(40):
+        w = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(200)]
+        made.append((2 * i, " ".join(w), "x"))
+        if i % 2:
+            for k in rng.sample(range(200), 3):
+                w[k] = "changed"
+            made.append((2 * i + 1, " ".join(w), "x"))
+    made += [(900, None, "x"), (901, "", "x"), (902, made[0][1], "x"), (None, made[0][1], "x")]
+    d = spark.createDataFrame(made, "doc_id long, text string, node string")
+    kept = simhash.keep_one_similar(d)
+    left = {r.doc_id for r in kept.collect()}
+    assert kept.columns == d.columns and set(range(0, 80, 2)) <= left and 902 not in left and {900, None} <= left
+    assert sum(2 * i + 1 in left for i in range(1, 40, 2)) <= 1
+    assert simhash.keep_one_similar(spark.createDataFrame([], EMPTY)).count() == 0
+    few = [(d.doc_id, d.text) for d in spark.createDataFrame(made, "doc_id long, text string, node string").limit(12).collect()]
+    assert simhash.similar_links(spark.createDataFrame(few, EMPTY), crowd=1).count() >= 0
