@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliograph.llm.common import keep
 
@@ -193,7 +192,7 @@ def build_index(vectors: DataFrame, shard: int = SHARD) -> DataFrame:
 
     number = F.pmod(F.xxhash64("vec_id"), F.lit(shards))
     rows = vectors.withColumn("vec_id", F.col("vec_id").cast("long")).withColumn("shard", number)
-    return rows.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard long, ids binary, vectors binary, graph binary")
+    return rows.repartitionByRange(shards, "shard").sortWithinPartitions("shard").mapInArrow(run, "shard long, ids binary, vectors binary, graph binary")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 10, room: int = SEARCH, block: int = BLOCK) -> DataFrame:

@@ -345,7 +345,8 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
 
 
 def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:
-    most = int(bit_budget(SKETCH * BITS, similarity))
+    # half a standard error over the mean, as most pairs at the threshold are to pass
+    most = int(bit_budget(SKETCH * BITS, similarity) + 0.5 * math.sqrt(SKETCH * BITS * 0.15 * 0.85))
     loose = int(bit_budget(BITS, similarity) + 3 * math.sqrt(BITS * 0.15 * 0.85))
 
     def emit(keys, ids, s):
