@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import discard, id_and_text, keep, mix
+from foliograph.llm.common import discard, fresh, id_and_text, keep, mix
 
 WIDTH, BUDGET, SEED, BITS = 4, 4, 42, 64
 HOT, BATCH, PAIRS = 512, 400_000, 1_000_000
@@ -265,11 +265,17 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET, h
     return fps.join(label, "fp").select("doc_id", "fp", "component_id")
 
 
+def _unrepeated(docs: DataFrame) -> DataFrame:
+    """One of the rows that are equal in doc_id and text."""
+    key = fresh(docs, "text_key")
+    return docs.withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)
+
+
 def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET) -> DataFrame:
-    """docs with one row of each component: that of the smallest doc_id (of rows equal in it, any one)."""
+    """docs with one row of each component: that of the smallest doc_id (of rows equal in it and in text, any one)."""
     labels = near_duplicates(docs, width, budget)
     survivors = labels.select(F.col("component_id").alias("__id")).distinct()
-    return docs.join(survivors, docs["doc_id"].eqNullSafe(survivors["__id"]), "left_semi").dropDuplicates(["doc_id"])
+    return _unrepeated(docs.join(survivors, docs["doc_id"].eqNullSafe(survivors["__id"]), "left_semi"))
 
 
 #: Words, similarity and words of 64 bits of the wider sketches; the chance that a pair just as similar is missed.
@@ -375,8 +381,11 @@ def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:
 
 
 def keep_one_similar(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group that near_duplicates() or similar_links() ties together: the smallest doc_id's."""
+    """docs with one row of each group that near_duplicates() or similar_links() ties together: the smallest doc_id's.
+
+    Rows without doc_id all stay but for repeats of a text among them.
+    """
     tight = near_duplicates(docs).where("doc_id <> component_id").select(F.col("doc_id").cast("long").alias("a"), F.col("component_id").cast("long").alias("b"))
     parts = components(tight.unionByName(similar_links(docs)))
     gone = keep(parts.where("node <> root").select("node"), "near-copies")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["node"], "left_anti").dropDuplicates(["doc_id"])
+    return _unrepeated(docs.join(gone, docs["doc_id"].cast("long") == gone["node"], "left_anti"))
