@@ -312,8 +312,9 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
 
     Pairs that near differ in too many of 64 bits for bands, so each sketch goes to several tables, keyed by some of its
     256 bits, as many tables as leave a chance of MISS that a pair at the threshold meets in none. In a table's tries the
-    first 64 bits prune and all 256 judge. A crowded key is dealt again by more bits. The similarity is thus estimated,
-    with a standard error of about 0.03, and links are spanning forests.
+    first 64 bits prune and all 256 judge. A key with over crowd sketches is joined block by block, so that none of its
+    pairs is left out; that work grows with the square of such a key's sketches over crowd. The similarity is thus
+    estimated, with a standard error of about 0.03, and links are spanning forests.
     """
     names = [f"s{k}" for k in range(SKETCH)]
 
@@ -338,16 +339,22 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
             keys.append(F.xxhash64("key", F.lit(t), F.array(*[F.shiftrightunsigned(names[b // BITS], b % BITS).bitwiseAND(F.lit(1).cast("long")) for b in picked])))
         return d.select("doc_id", *names, F.explode(F.array(*keys)).alias("key"))
 
-    level = tables(firsts.withColumn("key", F.lit(0).cast("long")), chosen, math.ceil(math.log(MISS) / math.log(1 - agree**chosen)))
-    out = [same]
-    for _ in range(4):
-        level = keep(level, "tables")
-        sizes = keep(level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "table-sizes")
-        out.append(_similar(level.join(sizes.where(F.col("n") <= crowd), "key", "left_semi"), names, similarity))
-        if (sizes.agg(F.max("n")).first()[0] or 0) <= crowd:
-            break
-        level = tables(level.join(sizes.where(F.col("n") > crowd), "key", "left_semi"), 8, 8)
-    return reduce(DataFrame.unionByName, out)
+    level = keep(tables(firsts.withColumn("key", F.lit(0).cast("long")), chosen, math.ceil(math.log(MISS) / math.log(1 - agree**chosen))), "tables")
+    sizes = keep(level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "table-sizes")
+    few = level.join(sizes.where(F.col("n") <= crowd), "key", "left_semi")
+    many = _in_blocks(level.join(sizes.where(F.col("n") > crowd), "key"), crowd)
+    return same.unionByName(_similar(few, names, similarity)).unionByName(_similar(many, names, similarity))
+
+
+def _in_blocks(rows: DataFrame, crowd: int) -> DataFrame:
+    """Rows of keys with n > crowd sketches, dealt so that any two of a key meet and a new key has about crowd rows.
+
+    A key's rows go to blocks of about crowd/2, and each two blocks make a new key.
+    """
+    blocks = F.ceil(2 * F.col("n") / crowd)
+    mine = F.pmod(F.xxhash64("doc_id", "key"), blocks)
+    rows = rows.withColumns({"mine": mine, "other": F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))}).where("mine <> other")
+    return rows.withColumn("key", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))).drop("n", "mine", "other")
 
 
 def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:

@@ -401,3 +401,22 @@ def test_similar_texts_leave_one(spark):
     assert simhash.keep_one_similar(spark.createDataFrame([], EMPTY)).count() == 0
     few = [(d.doc_id, d.text) for d in spark.createDataFrame(made, "doc_id long, text string, node string").limit(12).collect()]
     assert simhash.similar_links(spark.createDataFrame(few, EMPTY), crowd=1).count() >= 0
+
+
+def test_similar_links_in_crowded_keys(spark):
+    rng = random.Random(5)
+    groups = []
+    for _ in range(2):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        for _ in range(20):
+            copy = list(base)
+            copy[rng.randrange(300)] = f"w{rng.randrange(10**6)}"
+            groups.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(groups)), EMPTY)
+    assert len({tuple(simhash.sketch(t.encode()).tolist()) for t in groups}) > 30
+    w = [{tuple(t.split()[i : i + 5]) for i in range(296)} for t in groups]
+    near = {(a, b) for a in range(40) for b in range(a) if len(w[a] & w[b]) >= 0.8 * len(w[a] | w[b])}
+    assert near == {(a, b) for a in range(40) for b in range(a) if (a < 20) == (b < 20)}
+    for crowd in (1, 3, 4096):
+        found = rows(simhash.components(simhash.similar_links(docs, crowd=crowd)), "node", "root")
+        assert sorted(found) == [(i, 0 if i < 20 else 20) for i in range(40) if i % 20]
