@@ -19,8 +19,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
-#: What every base phrase or rule holds one of.
-STEMS = ("licen", "copyright", "copyleft", "spdx", "public domain", "creative commons", "creativecommons", "cc", "gnu", "apache", "mozilla", "warranty", "warranties", "redistribution", "permission", "rights reserved", "unlicense", "opensource.org", "bsd", "gpl")
+#: Every match of a base phrase or rule holds one of these.
+STEMS = ("licen", "copyright", "public domain", "creative commons", "creativecommons", "cc", "gnu", "apache", "mozilla", "warrant", "redistribution", "permission", "rights reserved", "opensource.org", "bsd", "gpl")
+STEMS += ("cddl", "eupl", "cecill", "commons clause", "rail", "no attribution", "proprietary", "©", "advertising materials", "2.0", "neither the name of", "no part of this", "distributed under", "copying")
 
 #: Identifiers that an SPDX tag may name; each makes a rule of rank 100 and one of rank 70 for "licensed under <id>".
 SPDX = """
@@ -36,7 +37,7 @@ SPDX = """
     Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib ZPL-2.1
 """.split()
 
-#: rank, label, keyword, expression over the lower-cased text. The first of equals wins.
+#: rank, label, keyword that every match holds, expression over the lower-cased text. The first of equals wins.
 RULES = r"""
 90 gpl-3.0 gnu gnu general public license,?\s+(?:version|v\.?)\s*3(?:\.0)?
 90 gpl-2.0 gnu gnu general public license,?\s+(?:version|v\.?)\s*2(?:\.0)?
@@ -68,7 +69,7 @@ RULES = r"""
 90 apache-1.0 apache apache (?:software )?licen[cs]e,?\s+(?:version|v\.?)?\s*1\.0
 85 apache-2.0 apache.org/licenses apache\.org/licenses/license-2\.0
 60 apache apache apache (?:software )?licen[cs]e
-50 apache apache \bapl[- ]?2\.0\b|\basl[- ]?2\.0\b
+50 apache 2.0 \bapl[- ]?2\.0\b|\basl[- ]?2\.0\b
 95 mit permission permission is hereby granted, free of charge, to any person obtaining a copy
 90 mit-0 mit mit no attribution
 75 mit opensource.org opensource\.org/licenses/mit\b
@@ -76,7 +77,7 @@ RULES = r"""
 60 mit mit licen[cs]ed? under (?:the )?(?:terms of the )?mit\b
 60 x11 x11 \bx11 licen[cs]e\b
 60 expat expat \bexpat licen[cs]e\b
-95 bsd-3-clause redistribution neither the name of [^.]{0,120}? nor the names of its contributors
+95 bsd-3-clause neither neither the name of [^.]{0,120}? nor the names of its contributors
 93 bsd-2-clause redistribution redistribution and use in source and binary forms, with or without modification
 90 bsd-4-clause advertising all advertising materials mentioning features or use of this software
 88 bsd-3-clause bsd \b(?:3-clause|three-clause|new|modified|revised) bsd\b|\bbsd[- ]3(?:[- ]clause)?\b
@@ -121,7 +122,7 @@ RULES = r"""
 60 ncsa ncsa (?:university of illinois/)?ncsa open source licen[cs]e
 60 cecill cecill \bcecill(?:-[bc])?\b
 60 mulan mulan mulan (?:permissive|public) (?:software )?licen[cs]e
-60 odbl open database open (?:data commons )?(?:open )?database licen[cs]e
+60 odbl database open (?:data commons )?(?:open )?database licen[cs]e
 60 pddl public domain public domain dedication and licen[cs]e
 60 beerware beer-ware beer-ware licen[cs]e
 60 vim vim \bvim licen[cs]e\b
@@ -159,14 +160,14 @@ RULES = r"""
 40 creative-commons creative commons \bcreative commons\b
 70 proprietary rights reserved \ball rights reserved\b
 65 proprietary confidential \bproprietary and confidential\b
-65 proprietary permission no part of this (?:book|publication|work|document) may be (?:reproduced|copied)
+65 proprietary no part of this no part of this (?:book|publication|work|document) may be (?:reproduced|copied)
 45 public-domain public domain \b(?:in|into|to) the public domain\b
 30 copyright copyright \bcopyright (?:\(c\)|©)?\s*(?:19|20)\d\d\b
 30 copyright © ©\s*(?:19|20)\d\d\b
 35 no-warranty warrant without warrant(?:y|ies) (?:or conditions )?of any kind
 25 license-grant licen \blicen[cs]ed under (?:the )?(?:terms|conditions) of\b
-25 license-grant licen \bdistributed under (?:the )?(?:terms|conditions) of\b
-20 license-mention licen \bsee (?:the )?(?:file )?(?:licen[cs]e|copying)(?:\.txt|\.md)?\b
+25 license-grant distributed \bdistributed under (?:the )?(?:terms|conditions) of\b
+20 license-mention see \bsee (?:the )?(?:file )?(?:licen[cs]e|copying)(?:\.txt|\.md)?\b
 """.strip().splitlines()
 
 
@@ -185,7 +186,7 @@ def rules() -> list[tuple[int, str, str, str]]:
 
 
 #: Keywords of two or three words; others are one word.
-PHRASES = ("gnu.org/licenses", "public domain", "creative commons", "common development", "common public", "european union", "business source", "server side", "what the", "open font", "open software", "academic free", "python software", "open database", "universal permissive", "blue oak", "commons clause", "rights reserved")
+PHRASES = ("gnu.org/licenses", "public domain", "creative commons", "common development", "common public", "european union", "business source", "server side", "what the", "open font", "open software", "academic free", "python software", "no part of this", "universal permissive", "blue oak", "commons clause", "rights reserved")
 
 
 def _keyword(rest: str) -> tuple[str, str]:

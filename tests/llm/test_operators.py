@@ -325,6 +325,62 @@ def test_licenses(spark):
         assert "Licensed under CC BY-NC 4.0."[d.start : d.end]
 
 
+def holds_stem(seq) -> bool:
+    """Whether every match of the parsed expression holds one of the stems."""
+    runs, inner = [""], []
+    for op, arg in seq:
+        name = str(op)
+        if name == "LITERAL":
+            runs[-1] += chr(arg)
+        elif name not in ("AT", "ASSERT_NOT"):
+            runs.append("")
+        if name == "SUBPATTERN":
+            inner.append(holds_stem(arg[3]))
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            inner.append(arg[0] > 0 and holds_stem(arg[2]))
+        elif name == "BRANCH":
+            inner.append(all(map(holds_stem, arg[1])))
+    return any(inner) or any(stem in run for run in runs for stem in licenses.STEMS)
+
+
+def made_of(seq) -> list[str]:
+    """Some matches of the parsed expression: each branch once, the fewest repeats."""
+    out = [""]
+    for op, arg in seq:
+        name = str(op)
+        more = [""]
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "IN":
+            kind, what = arg[0]
+            more = [chr(what) if str(kind) == "LITERAL" else chr(what[0]) if str(kind) == "RANGE" else "2" if "DIGIT" in str(what) else " "]
+        elif name == "SUBPATTERN":
+            more = made_of(arg[3])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            more = [made_of(arg[2])[0] * arg[0]]
+        elif name == "BRANCH":
+            more = [x for b in arg[1] for x in made_of(b)]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_every_license_rule_fires_alone(spark):
+    import re
+
+    made = []
+    for rank, label, keyword, pattern in licenses.rules():
+        tree = re._parser.parse(pattern)
+        assert holds_stem(tree), pattern
+        for text in made_of(tree):
+            assert re.search(pattern, text) and keyword in text, (pattern, text)
+            made.append((len(made), text, label, rank))
+    for text, label in (("neither the name of x nor the names of its contributors", "bsd-3-clause"), ("see copying", "license-mention"), ("\u00a9 2019", "copyright"), ("asl-2.0", "apache"), ("CeCILL", "cecill"), ("MIT no attribution", "mit-0")):
+        made.append((len(made), text, label, 20))
+    got = {r.doc_id: r for r in licenses.digest(spark.createDataFrame([x[:2] for x in made], EMPTY).repartition(4)).collect()}
+    missed = [x for x in made if x[2] not in got[x[0]].labels.split(",") and got[x[0]].score * 100 < x[3] - 0.001]
+    assert not missed, missed
+
+
 # ---- 9
 
 def test_bpe_equals_the_library(spark, docs):
