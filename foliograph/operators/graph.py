@@ -187,18 +187,68 @@ def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -
     return nodes.select("node_id").distinct().join(parts, "node_id", "left").select("node_id", F.coalesce("component", "node_id").alias("component"))
 
 
-def cycle_nodes(edges: DataFrame, rounds: int = 1000) -> DataFrame:
-    """Nodes that no stripping of sources and sinks removes: those on or between cycles; none if the graph is acyclic (Q12)."""
-    e = settled(edges.select(F.col("source_node_id").alias("s"), F.col("target_node_id").alias("t")).distinct())
+def _followed(hop: DataFrame) -> DataFrame:
+    """s, t, steps, endless: the node without a hop that each node's hops lead to, by doubling; endless if they lead to a circle.
+
+    hop: s, t, one row for each s.
+    """
+    now, reach = settled(hop.select("s", "t", F.lit(1).cast("long").alias("steps"))), 1
+    n = now.count()
+    while True:
+        on = now.select(F.col("s").alias("t"), F.col("t").alias("next"), F.col("steps").alias("more"))
+        # n hops that have not ended go round
+        if reach > n or now.join(on, "t", "left_semi").isEmpty():
+            break
+        now, reach = settled(now.join(on, "t", "left").select("s", F.coalesce("next", "t").alias("t"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"))), 2 * reach
+    return settled(now.join(on.select("t", F.lit(True).alias("endless")), "t", "left").select("s", "t", "steps", F.coalesce("endless", F.lit(False)).alias("endless")))
+
+
+def _endless(e: DataFrame) -> DataFrame:
+    """node_id of the nodes that a walk along e (s, t) without an end starts from.
+
+    Each round takes out nodes with one successor, which share its fate, and edges into nodes without any. A node known
+    to be endless keeps an edge to itself alone. Chains of any length take one round.
+    """
+    e, found, alias = settled(e.select("s", "t").distinct()), [], []
     n = e.count()
-    for _ in range(rounds):
-        into, out = e.select(F.col("t").alias("s")).distinct(), e.select(F.col("s").alias("t")).distinct()
-        e = settled(e.join(into, "s", "left_semi").join(out, "t", "left_semi").select("s", "t"))
+    while n:
+        deg = settled(e.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t")))
+        followed = _followed(deg.where("n = 1"))
+        found.append(followed.where("endless").select(F.col("s").alias("node_id")))
+        alias.append(followed.where("not endless").select(F.col("s").alias("node_id"), F.col("t").alias("to")))
+        forked = deg.where("n > 1").select("s")
+        d = e.join(forked, "s", "left_semi").join(followed.select(F.col("s").alias("t"), F.col("t").alias("to"), "endless"), "t", "left")
+        d = d.select("s", F.when(F.col("endless"), F.col("s")).otherwise(F.coalesce("to", "t")).alias("t"))
+        d = d.join(forked.select(F.col("s").alias("t")), "t", "left_semi").distinct()
+        own = d.where("s = t").select("s")
+        e = settled(d.where("s <> t").join(own, "s", "left_anti").select("s", "t").unionByName(own.select("s", F.col("s").alias("t"))))
         left = e.count()
-        if left in (0, n):
+        if left == n and followed.isEmpty():  # every node has successors for ever
+            found.append(e.select(F.col("s").alias("node_id")).distinct())
             break
         n = left
-    return e.select(F.col("s").alias("node_id")).unionByName(e.select(F.col("t").alias("node_id"))).distinct()
+    out = e.select(F.col("s").alias("node_id")).limit(0)
+    for part in found:
+        out = out.unionByName(part)
+    out = settled(out.distinct())
+    for part in reversed(alias):
+        more = part.join(out.withColumnRenamed("node_id", "to"), "to", "left_semi").select("node_id")
+        if not more.isEmpty():
+            out = settled(out.unionByName(more).distinct())
+    return out
+
+
+def cycle_nodes(edges: DataFrame) -> DataFrame:
+    """Nodes that no stripping of sources and sinks removes: those on or between cycles; none if the graph is acyclic (Q12).
+
+    That is, nodes that walks without an end both start from and lead to.
+    """
+    e = settled(edges.select(F.col("source_node_id").alias("s"), F.col("target_node_id").alias("t")).where("s is not null and t is not null").distinct())
+    on = _endless(e)
+    if on.isEmpty():
+        return on
+    e = e.join(on.withColumnRenamed("node_id", "s"), "s", "left_semi").join(on.withColumnRenamed("node_id", "t"), "t", "left_semi")
+    return _endless(e.select(F.col("t").alias("s"), F.col("s").alias("t")))
 
 
 def parent_violations(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -244,7 +294,7 @@ def same_field(left: DataFrame, right: DataFrame) -> DataFrame:
     return make_edges(a.join(b, "canonical_id").where("x <> y"), "same_field", "x", "y")
 
 
-def precedence_order(rules: DataFrame, precedences: DataFrame, rounds: int = 1000) -> DataFrame:
+def precedence_order(rules: DataFrame, precedences: DataFrame) -> DataFrame:
     """rule and level: those that nothing active precedes come first, then those they alone preceded, and so on.
 
     precedences: higher, lower, active, revived. Active edges count; revived ones that lie on a cycle are cut first.
@@ -254,16 +304,21 @@ def precedence_order(rules: DataFrame, precedences: DataFrame, rounds: int = 100
     circle = cycle_nodes(e)
     on = e.join(circle.withColumnRenamed("node_id", "source_node_id"), "source_node_id", "left_semi").join(circle.withColumnRenamed("node_id", "target_node_id"), "target_node_id", "left_semi").where("revived")
     e = settled(e.join(on.select("source_node_id", "target_node_id"), ["source_node_id", "target_node_id"], "left_anti").select("source_node_id", "target_node_id"))
-    left, out, level = settled(rules.select("rule").distinct()), None, 0
-    while level < rounds:
-        free = settled(left.join(e.select(F.col("target_node_id").alias("rule")), "rule", "left_anti").withColumn("level", F.lit(level)))
-        if free.isEmpty():
+    # a rule that one rule alone precedes is a fixed number of levels below the end of its chain; the others take rounds
+    rule = settled(rules.select("rule").where("rule is not null").distinct())
+    into = settled(e.select(F.col("target_node_id").alias("s"), F.col("source_node_id").alias("t")).where("t is not null").distinct().join(rule.select(F.col("rule").alias("s")), "s", "left_semi"))
+    many = into.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    chain = _followed(into.join(many.where("n = 1"), "s", "left_semi"))
+    place = settled(rule.join(chain.withColumnRenamed("s", "rule"), "rule", "left").select("rule", F.coalesce("t", "rule").alias("top"), F.coalesce("steps", F.lit(0)).alias("steps"), F.coalesce("endless", F.lit(False)).alias("endless")))
+    tops = settled(into.join(many.where("n > 1"), "s", "left_semi").join(place.withColumnRenamed("rule", "t"), "t", "left").select("s", F.when(~F.coalesce("endless", F.lit(False)), F.coalesce("top", "t")).alias("top"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps")))
+    done = settled(rule.join(into.select(F.col("s").alias("rule")), "rule", "left_anti").withColumn("level", F.lit(0).cast("long")))
+    while True:
+        open_ = tops.join(done.select(F.col("rule").alias("s")), "s", "left_anti").join(done.select(F.col("rule").alias("top"), "level"), "top", "left")
+        more = settled(open_.groupBy(F.col("s").alias("rule")).agg(F.bool_and(F.col("level").isNotNull()).alias("free"), F.max(F.col("level") + F.col("steps")).alias("level")).where("free").select("rule", "level"))
+        if more.isEmpty():
             break
-        out = free if out is None else out.unionByName(free)
-        left = settled(left.join(free, "rule", "left_anti"))
-        e = settled(e.join(free.select(F.col("rule").alias("source_node_id")), "source_node_id", "left_anti"))
-        level += 1
-    ranked = out if out is not None else left.withColumn("level", F.lit(0)).limit(0)
+        done = settled(done.unionByName(more))
+    ranked = place.where("not endless").join(done.select(F.col("rule").alias("top"), F.col("level").alias("base")), "top").select("rule", (F.col("base") + F.col("steps")).cast("int").alias("level"))
     return rules.select("rule").distinct().join(ranked, "rule", "left")
 
 

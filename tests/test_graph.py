@@ -69,3 +69,37 @@ def test_measures(spark):
     got = R.ranking_measures(spark.createDataFrame([(1, 7, 2), (1, 8, 3)], "query_id int, item int, rank int"), spark.createDataFrame([(1, 7), (1, 9), (2, 5)], "query_id int, item int"))
     assert {r.query_id: (r.recall, r.rr) for r in got.collect()} == {1: (0.5, 0.5), 2: (0.0, 0.0)}
     assert R.parse_ontology("## Box\n- **includes** → Amount\ntext") == (["Box"], [("Box", "includes", "Amount")])
+
+
+def test_long_chains_are_no_cycles(spark):
+    n = 2500
+    link = spark.range(n).selectExpr("cast(id as string) as source_node_id", "cast(id + 1 as string) as target_node_id")
+    assert G.cycle_nodes(link).count() == 0
+    ring = spark.createDataFrame([("2500", "x"), ("x", "y"), ("y", "x"), ("y", "z"), ("z", "u"), ("u", "v"), ("v", "u"), ("v", "w")], "source_node_id string, target_node_id string")
+    assert ids(G.cycle_nodes(link.unionByName(ring))) == ["u", "v", "x", "y", "z"]
+    p = link.selectExpr("source_node_id as higher", "target_node_id as lower", "true as active", "true as revived")
+    order = G.precedence_order(spark.range(n + 1).selectExpr("cast(id as string) as rule"), p)
+    assert order.count() == n + 1 and order.where("level <> int(rule) or level is null").count() == 0
+
+
+def test_cycles_and_levels_against_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    for size, many in ((8, 9), (12, 14), (12, 24)):
+        e = sorted({(str(rng.randrange(size)), str(rng.randrange(size))) for _ in range(many)})
+        left = set(e)
+        while True:
+            kept = {(a, b) for a, b in left if a in {y for _, y in left} and b in {x for x, _ in left}}
+            if kept == left:
+                break
+            left = kept
+        d = spark.createDataFrame(e, "source_node_id string, target_node_id string")
+        assert ids(G.cycle_nodes(d)) == sorted({x for pair in left for x in pair})
+        level, todo, k = {}, {str(i) for i in range(size)}, 0
+        while free := {x for x in todo if not any(b == x and a in todo for a, b in e)}:
+            level |= dict.fromkeys(free, k)
+            todo, k = todo - free, k + 1
+        p = d.selectExpr("source_node_id as higher", "target_node_id as lower", "true as active", "false as revived")
+        got = G.precedence_order(spark.range(size).selectExpr("cast(id as string) as rule"), p).collect()
+        assert {r.rule: r.level for r in got} == {str(i): level.get(str(i)) for i in range(size)}
