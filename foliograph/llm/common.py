@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
+import ctypes
 import uuid
 
 import numpy as np
@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliograph.sources.scratch import shared_folder
+
 _written: list[tuple[SparkSession, str]] = []
 
 #: Lower-cases A-Z, keeps 0-9, a-z and every byte from 0x80, and makes the rest a blank.
@@ -20,12 +22,16 @@ WORD_BYTES = bytes(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a folder of this machine only where the setting is absent."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="foliograph-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    """The shared folder of spark.checkpoint.dir."""
+    return shared_folder(spark)
+
+
+def release() -> None:
+    """Give back memory that this worker no longer uses, as workers live on through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def keep(df: DataFrame, label: str) -> DataFrame:

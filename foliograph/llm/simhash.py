@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import discard, fresh, id_and_text, keep, mix
+from foliograph.llm.common import discard, fresh, id_and_text, keep, mix, release
 
 WIDTH, BUDGET, SEED, BITS = 4, 4, 42, 64
 HOT, BATCH, PAIRS = 512, 400_000, 1_000_000
@@ -85,21 +85,53 @@ class Forest:
                 self.root = up
 
 
+def cross(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, room: int = 500_000):
+    """Index pairs x of [a, b) and y of [c, d) for each of the interval pairs, in pieces of at most about room pairs."""
+    left, right = b - a, d - c
+    start = 0
+    while start < len(a):
+        sizes = np.cumsum(left[start:] * right[start:])
+        many = max(1, int(np.searchsorted(sizes, room, side="right")))
+        cut = slice(start, start + many)
+        start += many
+        if many == 1 and sizes[0] > room:  # one pair of long runs: row by row
+            i = cut.start
+            step = max(1, room // int(right[i]))
+            for at in range(int(a[i]), int(b[i]), step):
+                x = np.arange(at, min(at + step, int(b[i])))
+                yield np.repeat(x, int(right[i])), np.tile(np.arange(int(c[i]), int(d[i])), len(x))
+            continue
+        n = left[cut] * right[cut]
+        which = np.repeat(np.arange(many), n)
+        k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        yield a[cut][which] + k // right[cut][which], c[cut][which] + k % right[cut][which]
+
+
 def trie_join(keys: np.ndarray, fps: np.ndarray, budget: int, judge=None) -> tuple[np.ndarray, np.ndarray]:
     """Spanning links (indices) of the fingerprints within budget bits in each run of equal keys.
 
-    keys and fps are sorted together and without repeats. A trie node at depth d is an interval of the sorted
-    fingerprints that agree in d bits; its children are the intervals of those with bit d clear and set. judge(x, y), if
-    given, decides at the leaves; fingerprints may then repeat in a key, and repeats are judged with their neighbours.
+    keys and fps are sorted together. A trie node at depth d is an interval of the sorted fingerprints that agree in d
+    bits; its children are the intervals of those with bit d clear and set. Fingerprints may repeat in a key; then the
+    trie ends in runs of equal ones, and all pairs of two runs are judged. judge(x, y, forest), if given, tells which
+    pairs are links; it may keep others for itself.
     """
     n = len(fps)
     forest = Forest(n)
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     lo, hi = first, np.append(first[1:], n)
-    judge = judge or (lambda x, y: np.bitwise_count(fps[x] ^ fps[y]) <= budget)
+    judge = judge or (lambda x, y, _: np.bitwise_count(fps[x] ^ fps[y]) <= budget)
+
+    def settle(x: np.ndarray, y: np.ndarray) -> None:
+        near = judge(x, y, forest)
+        forest.link(x[near], y[near])
+
+    def leaves(a, b, c, d) -> None:
+        for x, y in cross(a, b, c, d):
+            apart = (x != y) & (forest.root[x] != forest.root[y])
+            settle(x[apart], y[apart])
+
     twin = np.flatnonzero((fps[1:] == fps[:-1]) & (keys[1:] == keys[:-1]))
-    twin = twin[judge(twin, twin + 1)]
-    forest.link(twin, twin + 1)
+    settle(twin, twin + 1)
     big = hi - lo > 1
     stack = [(0, lo[big], hi[big], lo[big], hi[big], np.zeros(int(big.sum()), dtype=np.int8))]
     zeros: dict[int, np.ndarray] = {}
@@ -112,16 +144,12 @@ def trie_join(keys: np.ndarray, fps: np.ndarray, budget: int, judge=None) -> tup
             one = (run[a] == run[b - 1]) & (run[c] == run[d - 1]) & (forest.root[a] == forest.root[c])
             a, b, c, d, bits, same = a[~one], b[~one], c[~one], d[~one], bits[~one], same[~one]
         leaf = (b - a == 1) & (d - c == 1)
-        x, y = a[leaf & ~same], c[leaf & ~same]
-        near = judge(x, y)
-        forest.link(x[near], y[near])
+        settle(a[leaf & ~same], c[leaf & ~same])
         a, b, c, d, bits, same = a[~leaf], b[~leaf], c[~leaf], d[~leaf], bits[~leaf], same[~leaf]
         if not len(a):
             continue
         if depth == BITS:  # runs of equal fingerprints
-            x, y = a[~same], c[~same]
-            near = judge(x, y)
-            forest.link(x[near], y[near])
+            leaves(a, b, c, d)
             continue
         if len(a) > PAIRS:
             for at in range(0, len(a), PAIRS):
@@ -134,9 +162,9 @@ def trie_join(keys: np.ndarray, fps: np.ndarray, budget: int, judge=None) -> tup
         z = zeros[depth]
         m, k = a + z[b] - z[a], c + z[d] - z[c]
         more = (bits < budget) & ~same
-        cross = bits < budget
+        over = bits < budget
         pairs = [(a, m, c, k, bits), (m, b, k, d, bits)]
-        pairs.append(tuple(v[cross] for v in (a, m, k, d, bits + np.int8(1))))
+        pairs.append(tuple(v[over] for v in (a, m, k, d, bits + np.int8(1))))
         pairs.append(tuple(v[more] for v in (m, b, c, k, bits + np.int8(1))))
         a, b, c, d, bits = (np.concatenate(v) for v in zip(*pairs))
         full = (b > a) & (d > c) & ~((a == c) & (b - a == 1))
@@ -278,21 +306,30 @@ def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET) -> DataF
     return _unrepeated(docs.join(survivors, docs["doc_id"].eqNullSafe(survivors["__id"]), "left_semi"))
 
 
-#: Words, similarity and words of 64 bits of the wider sketches; the chance that a pair just as similar is missed.
+#: Words, similarity and words of 64 bits of the wider sketches; the chance that a pair just as similar meets in no table.
 WORDS, SIMILARITY, SKETCH, MISS = 5, 0.8, 4, 0.02
+#: Standard errors below the mean distance at which a link is sure, and above it up to which a pair is a candidate.
+SURE, LOOSE = 2.0, 2.5
 
 
-def sketch(text: bytes, width: int = WORDS) -> np.ndarray:
-    """SKETCH independent fingerprints of 64 bits: one XXH64 for each shingle, scrambled in as many ways."""
+def shingles(text: bytes, width: int = WORDS) -> np.ndarray:
+    """XXH64 of each shingle of width words (fewer words: of all of them), in order, repeats included."""
     words = text.lower().split()
     if not words:
-        return np.zeros(SKETCH, dtype=np.uint64)
+        return np.empty(0, dtype=np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     k = min(width, len(words))
     starts = np.concatenate([[0], ends[: len(words) - k] + 1]).tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist())], dtype=np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist())], dtype=np.uint64)
+
+
+def sketch(text: bytes, width: int = WORDS) -> np.ndarray:
+    """SKETCH independent fingerprints of 64 bits of the set of shingles: one XXH64 for each, scrambled in as many ways."""
+    h = np.unique(shingles(text, width))
+    if not len(h):
+        return np.zeros(SKETCH, dtype=np.uint64)
     out = []
     for way in range(1, SKETCH + 1):
         mixed, counts = mix(h + np.uint64(way * 0x9E3779B97F4A7C15 % 2**64)), np.zeros(BITS, dtype=np.int64)
@@ -302,19 +339,28 @@ def sketch(text: bytes, width: int = WORDS) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def bit_budget(bits: int, similarity: float = SIMILARITY) -> float:
-    """Bits that the sketches of two texts of that Jaccard similarity differ in, on average."""
-    return bits * math.acos(2 * similarity / (1 + similarity)) / math.pi
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted arrays without repeats; 1 for two empty ones."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / max(1, len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def bit_budget(bits: int, similarity: float = SIMILARITY, errors: float = 0.0) -> float:
+    """Bits that the sketches of two texts of that Jaccard similarity differ in: the mean and so many standard errors."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return bits * share + errors * math.sqrt(bits * share * (1 - share))
 
 
 def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, crowd: int = 4096) -> DataFrame:
-    """a, b: links between doc_ids whose texts are about as similar, in shingles of width words, or more.
+    """a, b: links between doc_ids whose sets of shingles of width words are at least so similar (Jaccard).
 
     Pairs that near differ in too many of 64 bits for bands, so each sketch goes to several tables, keyed by some of its
     256 bits, as many tables as leave a chance of MISS that a pair at the threshold meets in none. In a table's tries the
-    first 64 bits prune and all 256 judge. A key with over crowd sketches is joined block by block, so that none of its
-    pairs is left out; that work grows with the square of such a key's sketches over crowd. The similarity is thus
-    estimated, with a standard error of about 0.03, and links are spanning forests.
+    first 64 bits prune and all 256 judge: a pair SURE standard errors nearer than the mean of pairs at the threshold is
+    a link, one at most LOOSE further is a candidate. Links tie groups; candidates inside a group say nothing new, and of
+    those between two groups of a trie the nearest go on. What is left of them after all tables is judged by the exact
+    similarity of the texts. A key with over crowd sketches is joined block by block, so that none of its pairs is left
+    out; that work grows with the square of such a key's sketches over crowd.
     """
     names = [f"s{k}" for k in range(SKETCH)]
 
@@ -322,6 +368,7 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
         for batch in batches:
             x = np.array([sketch(b.as_py(), width) for b in batch["body"]], dtype=np.uint64).reshape(-1, SKETCH).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), *(pa.array(c) for c in x.T)], names=["doc_id", *names])
+        release()
 
     rows = id_and_text(docs).where("doc_id is not null").mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
     rows = keep(rows, "sketches")
@@ -343,7 +390,38 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
     sizes = keep(level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "table-sizes")
     few = level.join(sizes.where(F.col("n") <= crowd), "key", "left_semi")
     many = _in_blocks(level.join(sizes.where(F.col("n") > crowd), "key"), crowd)
-    return same.unionByName(_similar(few, names, similarity)).unionByName(_similar(many, names, similarity))
+    found = keep(_similar(few, names, similarity).unionByName(_similar(many, names, similarity)), "similar")
+    discard(level)
+    links = keep(same.unionByName(found.where("sure").select("a", "b")).distinct(), "sure-links")
+    return links.unionByName(_judged(docs, found.where("not sure").select("a", "b").distinct(), links, width, similarity))
+
+
+def _judged(docs: DataFrame, pairs: DataFrame, links: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Of the pairs (a, b) that links do not tie already, those whose texts are similar enough."""
+    groups = keep(components(links), "tied")
+    side = lambda end: groups.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+    apart = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    open_pairs = keep(apart.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b"), "open-pairs")
+    bodies = id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    ends = open_pairs.select(F.col("a").alias("doc_id")).union(open_pairs.select("b")).distinct()
+
+    def hashed(batches):
+        for batch in batches:
+            sets = [np.unique(shingles(b.as_py(), width)).tobytes() for b in batch["body"]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+
+    # rows of one id share their links; the one of the least text stands for them
+    one = bodies.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("body").alias("body"))
+    sets = keep(one.mapInArrow(hashed, "doc_id long, shingles binary"), "shingle-sets")
+    both = open_pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+
+    def run(batches):
+        for batch in batches:
+            ok = [jaccard(np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)) >= similarity for x, y in zip(batch["x"], batch["y"])]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        release()
+
+    return both.select("a", "b", "x", "y").mapInArrow(run, LINKS)
 
 
 def _in_blocks(rows: DataFrame, crowd: int) -> DataFrame:
@@ -357,17 +435,64 @@ def _in_blocks(rows: DataFrame, crowd: int) -> DataFrame:
     return rows.withColumn("key", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))).drop("n", "mine", "other")
 
 
+class Candidates:
+    """Pairs too far apart to be links and near enough to be judged later; at any time a bounded number."""
+
+    def __init__(self, room: int = 2_000_000):
+        self.x, self.y, self.bits, self.held, self.room = [], [], [], 0, room
+
+    def add(self, x: np.ndarray, y: np.ndarray, bits: np.ndarray, forest: Forest) -> None:
+        if len(x):
+            self.x.append(x), self.y.append(y), self.bits.append(bits)
+            self.held += len(x)
+        if self.held > self.room:
+            self.x, self.y, self.bits = ([v] for v in self.nearest(forest))
+            self.held = len(self.x[0])
+            self.room = max(self.room, 2 * self.held)
+
+    def nearest(self, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the pairs between two groups of the forest, from near to far those that tie groups not tied by nearer ones."""
+        none = np.empty(0, dtype=np.int64)
+        x, y, bits = (np.concatenate(v) if v else none for v in (self.x, self.y, self.bits))
+        tied, kept = Forest(len(forest.root)), []
+        tied.root = forest.root.copy()
+        for b in np.unique(bits):
+            at = np.flatnonzero(bits == b)
+            r, s = tied.root[x[at]], tied.root[y[at]]
+            at, low, high = at[r != s], np.minimum(r, s)[r != s], np.maximum(r, s)[r != s]
+            at = at[np.unique(low * len(tied.root) + high, return_index=True)[1]]
+            kept.append(at)
+            tied.link(x[at], y[at])
+        at = np.concatenate(kept) if kept else none
+        return x[at], y[at], bits[at]
+
+
+SIMILAR = T.StructType([*LINKS.fields, T.StructField("sure", T.BooleanType())])
+
+
 def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:
-    # half a standard error over the mean, as most pairs at the threshold are to pass
-    most = int(bit_budget(SKETCH * BITS, similarity) + 0.5 * math.sqrt(SKETCH * BITS * 0.15 * 0.85))
-    loose = int(bit_budget(BITS, similarity) + 3 * math.sqrt(BITS * 0.15 * 0.85))
+    """Links and candidates (a, b, sure) of sketches that share a key."""
+    sure, most = (int(bit_budget(SKETCH * BITS, similarity, e)) for e in (-SURE, LOOSE))
+    first = int(bit_budget(BITS, similarity, 3))
 
     def emit(keys, ids, s):
-        order = np.lexsort((s[:, 0], keys))
+        order = np.lexsort((*s.T[::-1], keys))
         keys, ids, s = keys[order], ids[order], s[order]
-        judge = lambda x, y: np.bitwise_count(s[x] ^ s[y]).sum(axis=1, dtype=np.int32) <= most
-        x, y = trie_join(keys, np.ascontiguousarray(s[:, 0]), loose, judge)
-        return pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(ids[y])], names=["a", "b"])
+        open_pairs, kept = Candidates(), None
+
+        def judge(x, y, forest):
+            nonlocal kept
+            kept = forest
+            bits = np.bitwise_count(s[x] ^ s[y]).sum(axis=1, dtype=np.int32)
+            near = bits <= sure
+            maybe = ~near & (bits <= most)
+            open_pairs.add(x[maybe], y[maybe], bits[maybe], forest)
+            return near
+
+        x, y = trie_join(keys, np.ascontiguousarray(s[:, 0]), first, judge)
+        u, v = open_pairs.nearest(kept)[:2] if kept is not None else (x[:0], y[:0])
+        a, b = (ids[np.concatenate(e)] for e in ((x, u), (y, v)))
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(np.arange(len(a)) < len(x))], names=["a", "b", "sure"])
 
     def run(batches):
         held, size = [], 0
@@ -375,16 +500,17 @@ def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:
             s = np.stack([batch[n].to_numpy().view(np.uint64) for n in names], axis=1)
             held.append((batch["key"].to_numpy(), batch["doc_id"].to_numpy(), s))
             size += batch.num_rows
-            if size >= BATCH:
+            if size >= BATCH // 2:
                 keys, ids, s = (np.concatenate(c) for c in zip(*held))
                 cut = int(np.searchsorted(keys, keys[-1]))
                 if cut:
                     yield emit(keys[:cut], ids[:cut], s[:cut])
-                held, size = [(keys[cut:], ids[cut:], s[cut:])], len(keys) - cut
+                held, size = [(keys[cut:].copy(), ids[cut:].copy(), s[cut:].copy())], len(keys) - cut
         if size:
             yield emit(*(np.concatenate(c) for c in zip(*held)))
+        release()
 
-    return rows.select("key", "doc_id", *names).repartition("key").sortWithinPartitions("key").mapInArrow(run, LINKS)
+    return rows.select("key", "doc_id", *names).repartition("key").sortWithinPartitions("key").mapInArrow(run, SIMILAR)
 
 
 def keep_one_similar(docs: DataFrame) -> DataFrame:

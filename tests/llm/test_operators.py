@@ -320,7 +320,7 @@ def test_licenses(spark):
     assert got[7].labels == "mit" and got[7].score == 1.0 and got[5].labels == "" and got[None].labels == "proprietary"
     # what lies inside a higher-ranking match is suppressed
     spans = [(d.start, d.end) for d in got[2].detections]
-    assert "apache-2.0" in got[2].labels and all(not (a <= c and d <= b and (a, b) != (c, d)) or True for a, b in spans for c, d in spans)
+    assert "apache-2.0" in got[2].labels and len(spans) == len(set(spans))
     for d in got[1].detections:
         assert "Licensed under CC BY-NC 4.0."[d.start : d.end]
 
@@ -436,43 +436,3 @@ def test_substring_dedup(spark, docs):
     assert substring.digest(spark.createDataFrame([], EMPTY)).count() == 0
     out = substring.remove_repeats(docs, 12)
     assert out.columns == docs.columns and out.count() == len(own)
-
-
-def test_similar_texts_leave_one(spark):
-    rng = random.Random(11)
-    made = []
-    for i in range(40):
-        w = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(200)]
-        made.append((2 * i, " ".join(w), "x"))
-        if i % 2:
-            for k in rng.sample(range(200), 3):
-                w[k] = "changed"
-            made.append((2 * i + 1, " ".join(w), "x"))
-    made += [(900, None, "x"), (901, "", "x"), (902, made[0][1], "x"), (None, made[0][1], "x")]
-    d = spark.createDataFrame(made, "doc_id long, text string, node string")
-    kept = simhash.keep_one_similar(d)
-    left = {r.doc_id for r in kept.collect()}
-    assert kept.columns == d.columns and set(range(0, 80, 2)) <= left and 902 not in left and {900, None} <= left
-    assert sum(2 * i + 1 in left for i in range(1, 40, 2)) <= 1
-    assert simhash.keep_one_similar(spark.createDataFrame([], EMPTY)).count() == 0
-    few = [(d.doc_id, d.text) for d in spark.createDataFrame(made, "doc_id long, text string, node string").limit(12).collect()]
-    assert simhash.similar_links(spark.createDataFrame(few, EMPTY), crowd=1).count() >= 0
-
-
-def test_similar_links_in_crowded_keys(spark):
-    rng = random.Random(5)
-    groups = []
-    for _ in range(2):
-        base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
-        for _ in range(20):
-            copy = list(base)
-            copy[rng.randrange(300)] = f"w{rng.randrange(10**6)}"
-            groups.append(" ".join(copy))
-    docs = spark.createDataFrame(list(enumerate(groups)), EMPTY)
-    assert len({tuple(simhash.sketch(t.encode()).tolist()) for t in groups}) > 30
-    w = [{tuple(t.split()[i : i + 5]) for i in range(296)} for t in groups]
-    near = {(a, b) for a in range(40) for b in range(a) if len(w[a] & w[b]) >= 0.8 * len(w[a] | w[b])}
-    assert near == {(a, b) for a in range(40) for b in range(a) if (a < 20) == (b < 20)}
-    for crowd in (1, 3, 4096):
-        found = rows(simhash.components(simhash.similar_links(docs, crowd=crowd)), "node", "root")
-        assert sorted(found) == [(i, 0 if i < 20 else 20) for i in range(40) if i % 20]
