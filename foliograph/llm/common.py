@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,24 +189,29 @@ class Sums:
 
 #: Bases of two independent rolling hashes.
 ROLLS = (RollingHash(0x9E3779B97F4A7C15), RollingHash(0xD6E8FEB86659FD93))
+#: Sums modulo 2**64 have known collisions from about a thousand values on; longer strings are hashed otherwise.
+LONG_WORD = 64
 
 
-def segments(values: np.ndarray, width: int, anchor: int):
+def segments(values: np.ndarray, width: int, anchor: int, raw):
     """Cut the windows of a document into runs that share an anchor.
 
     A window's anchor is that of its runs of `anchor` values with the smallest hash, so equal windows, wherever they
     stand, have equal anchors at the same distance. Returns for each run: the anchor's hash, the number of the first
-    window, the number of windows, the anchor's distance from there, and the hash of all values that its windows hold.
+    window, the number of windows, the anchor's distance from there, and the XXH3 of all values that its windows hold;
+    raw is the buffer of those values.
     """
-    first, second = Sums(ROLLS[0], values), Sums(ROLLS[1], values)
-    runs = first.windows(anchor)
+    runs = Sums(ROLLS[0], values).windows(anchor)
     at = minima(runs, width - anchor + 1)
     if not len(at):
         none = np.empty(0, dtype=np.int64)
         return none.astype(np.uint64), none, none, none, none.astype(np.uint64)
     s = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     n = np.diff(np.append(s, len(at)))
-    return runs[at[s]], s, n, at[s] - s, second.ranges(s, s + n - 1 + width)
+    raw = memoryview(raw).cast("B")
+    size, digest = len(raw) // len(values), xxhash.xxh3_64_intdigest
+    content = [digest(raw[a:b]) for a, b in zip((s * size).tolist(), ((s + n - 1 + width) * size).tolist())]
+    return runs[at[s]], s, n, at[s] - s, np.array(content, dtype=np.uint64)
 
 
 def hash_words(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,7 +221,10 @@ def hash_words(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edge = np.flatnonzero(blank[1:] != blank[:-1])
     starts, ends = edge[::2], edge[1::2]
     # lengths join the hash, as a zero byte adds nothing to a sum
-    return Sums(ROLLS[0], raw.astype(np.uint64)).ranges(starts, ends) + (ends - starts).astype(np.uint64), starts, ends
+    h = Sums(ROLLS[0], raw.astype(np.uint64)).ranges(starts, ends) + (ends - starts).astype(np.uint64)
+    for k in np.flatnonzero(ends - starts > LONG_WORD):
+        h[k] = xxhash.xxh3_64_intdigest(body[starts[k] : ends[k]])
+    return h, starts, ends
 
 
 def numbered(docs: DataFrame) -> DataFrame:

@@ -263,6 +263,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     # column b is the smaller end
     e = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     both = lambda d: d.select("a", "b").unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    stamp = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    before = stamp(e)
     for _ in range(rounds):
         # large star: a node's larger neighbours go to the smallest of its neighbours and itself
         low = both(e).groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -272,8 +274,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = big.join(least, "a")
         new = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         after = keep(new, "links")
-        mark = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        done = mark(e) == mark(after)
+        now = stamp(after)
+        done, before = now == before, now
         discard(e)
         e = after
         if done:

@@ -4,8 +4,9 @@ A window is `width` consecutive words of one document; the words that a window r
 covers go. Hashes are differences of prefix sums over word hashes, so a window costs one subtraction. To shuffle fewer
 rows than the corpus has words, the windows of a document are first cut into runs that share an anchor (see
 common.segments): equal windows have equal anchors at the same distance. Spark counts the runs by anchor. An anchor of
-one document is done with; where all runs of an anchor hold the same words, they are equal window for window; only the
-windows of the remaining runs are counted one by one, by two independent 64-bit hashes. All counts are map-side
+one document is done with; where all runs of an anchor hold the same words, they are equal window for window, which is
+an exact shortcut; only the windows of the remaining runs are counted one by one, by two independent 64-bit hashes of
+their 50 word hashes. Whole runs, which may be long, are compared by XXH3, so no sum of many terms stands for equality. All counts are map-side
 minima and maxima, so what stands in a third of all rows is one row of each task. Repeated windows of a document merge
 into maximal removal intervals.
 
@@ -39,7 +40,8 @@ def _runs(docs: DataFrame, width: int, anchor: int) -> DataFrame:
         for batch in batches:
             ids, cols = [], {n: [] for n in ("anchor", "content", "start", "n")}
             for k, body in enumerate(batch["body"]):
-                a, s, n, _, content = segments(hash_words(body.as_py())[0], width, anchor)
+                h = hash_words(body.as_py())[0]
+                a, s, n, _, content = segments(h, width, anchor, h)
                 ids.append(np.full(len(s), k))
                 for name, x in zip(cols, (a, content, s, n)):
                     cols[name].append(x)

@@ -7,8 +7,10 @@ anchor make one bucket: their texts from the anchor on, sorted, are the bucket's
 neighbours complete it, and a stack scan yields the tree of common-prefix intervals, each with all its occurrences.
 In an interval, the occurrences are told apart by what stands left of the anchor: the longest left extension that an
 occurrence shares with another, together with the interval's depth, gives the windows of that occurrence that repeat.
-Occurrences whose whole texts (all windows of the run) are equal are one suffix with a count, summed before any text
-moves. A bucket of over `hot` different texts is not gathered: its windows are counted by hash, map-side first.
+Occurrences whose whole texts (all windows of the run) are equal, by XXH3 beside the anchor's hash, are one suffix with a
+count, summed before any text moves: an interval of equal suffixes. A bucket that is nothing but such an interval needs
+no text, as its tree has no other node. A bucket of over `hot` different texts is split by the bytes next to its anchor,
+as often as needed, and each part has a tree of its own.
 
 Defined results. Null text: empty. Texts shorter than `width`: nothing removed. Repeated rows repeat each other's
 strings, so all their bytes go where long enough. Null doc_ids take part. Empty tables give empty results. Columns
@@ -18,6 +20,7 @@ other than doc_id and text are not read.
 from __future__ import annotations
 
 from bisect import bisect_left
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import ROLLS, Sums, keep, merged, numbered, record_batch, same_row, segments
+from foliograph.llm.common import keep, merged, numbered, record_batch, release, same_row, segments
 
-WIDTH, ANCHOR, HOT = 400, 200, 4096
+WIDTH, ANCHOR, HOT = 400, 200, 512
 
 
 def common(a: bytes, b: bytes) -> int:
@@ -117,7 +120,7 @@ def _runs(docs: DataFrame, width: int, anchor: int) -> DataFrame:
             ids, cols = [], {n: [] for n in RUN}
             for k, body in enumerate(batch["body"]):
                 raw = np.frombuffer(body.as_py(), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-                a, s, n, left, content = segments(raw, width, anchor)
+                a, s, n, left, content = segments(raw, width, anchor, body.as_py())
                 ids.append(np.full(len(s), k))
                 for name, x in zip(RUN, (a, content, s, n, left)):
                     cols[name].append(x)
@@ -149,67 +152,84 @@ def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return all_docs.join(runs, same_row(all_docs, runs)).select("body", "runs").mapInArrow(run, TEXTS)
 
 
+def _bucket(rows: list[tuple], width: int):
+    """Windows (anchor, content, from, to) that the interval tree of one bucket's different runs finds repeated.
+
+    rows: anchor, content, n, left, times, low, high, body; only windows with low to high bytes left of the anchor count.
+    """
+    seen = {r[1]: r for r in rows}
+    rows = sorted(seen.values(), key=lambda r: (r[7][r[3] :], r[1]))
+    found = repeated_windows([r[7][: r[3]][::-1] for r in rows], [r[7][r[3] :] for r in rows], width)
+    for (anchor, content, n, left, times, low, high, _), ranges in zip(rows, found):
+        # a run that stands several times is an interval of equal suffixes, as deep as it is long
+        for lo, hi in [(0, left)] if times > 1 else ranges:
+            a, b = max(0, left - min(hi, high)), min(n - 1, left - max(lo, low))
+            if a <= b:
+                yield anchor, content, a, b
+
+
 def _by_tree(texts: DataFrame, width: int) -> DataFrame:
-    """Windows (numbers from, to inclusive within a run) that the interval trees of the buckets find repeated."""
-
-    def bucket(rows):
-        seen = {}
-        for r in rows:
-            seen.setdefault(r[1], r)
-        rows = sorted(seen.values(), key=lambda r: r[4][r[3] :])
-        found = repeated_windows([r[4][: r[3]][::-1] for r in rows], [r[4][r[3] :] for r in rows], width)
-        for (anchor, content, n, left, _), ranges in zip(rows, found):
-            for lo, hi in ranges:
-                a, b = max(0, left - hi), min(n - 1, left - lo)
-                if a <= b:
-                    yield anchor, content, a, b
+    """Windows (numbers from, to inclusive within a run) that the interval trees of the buckets (equal `key`) find repeated."""
 
     def emit(rows):
         cols = np.array(rows, dtype=np.int64).reshape(-1, 4).T
         return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=RANGES.names)
 
     def run(batches):
-        held, out = [], []
+        held, now, out = [], None, []
         for batch in batches:
-            for r in zip(*(batch[c].to_pylist() for c in ("anchor", "content", "n", "left", "body"))):
-                if held and held[0][0] != r[0]:
-                    out += bucket(held)
+            for r in zip(*(batch[c].to_pylist() for c in ("key", "anchor", "content", "n", "left", "times", "low", "high", "body"))):
+                if r[0] != now and held:
+                    out += _bucket(held, width)
                     held = []
                     if len(out) > 50_000:
                         yield emit(out)
                         out = []
-                held.append(r)
+                now = r[0]
+                held.append(r[1:])
         if held:
-            out += bucket(held)
+            out += _bucket(held, width)
         if out:
             yield emit(out)
+        release()
 
-    return texts.drop("times").repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, RANGES)
+    return texts.repartition("key").sortWithinPartitions("key").mapInArrow(run, RANGES)
 
 
-def _by_count(texts: DataFrame, width: int) -> DataFrame:
-    """The same for buckets too large to gather: Spark counts the hashes of their windows."""
-    fields = ("anchor", "content", "times", "at", "h1", "h2")
+def _ranges(texts: DataFrame, width: int, anchor: int, hot: int) -> DataFrame:
+    """Repeated windows of the runs in texts, by the interval tree of each bucket.
 
-    def run(batches):
-        for batch in batches:
-            parts = []
-            for a, c, t, body in zip(*(batch[x].to_pylist() for x in ("anchor", "content", "times", "body"))):
-                raw = np.frombuffer(body, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-                h1, h2 = (Sums(r, raw).windows(width).view(np.int64) for r in ROLLS)
-                n = len(h1)
-                parts.append(np.stack([np.full(n, a), np.full(n, c), np.full(n, t), np.arange(n), h1, h2]))
-            cols = np.concatenate(parts, axis=1) if parts else np.empty((6, 0), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=fields)
-
-    windows = keep(texts.dropDuplicates(["anchor", "content"]).mapInArrow(run, T.StructType([T.StructField(n, T.LongType()) for n in fields])), "hot-windows")
-    again = keep(windows.groupBy("h1", "h2").agg(F.sum("times").alias("all")).where("all > 1"), "repeated-windows")
-    return windows.join(again, ["h1", "h2"]).select("anchor", "content", F.col("at").alias("from"), F.col("at").alias("to"))
+    A bucket is that of an anchor at first. One of over hot runs is split in two by the bytes next to what its windows
+    share: windows with at most m bytes left of the anchor share width - m bytes from it on, the others more than m bytes
+    before it; a run goes to both halves, each keyed by those bytes, and only its windows of that half count there. This
+    goes on until buckets are small or hold one window each; then a bucket of several runs is that window's occurrences.
+    """
+    whole = texts.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(width - anchor).cast("long"), "key": F.col("anchor")})
+    found, level = [], whole
+    while True:
+        sizes = keep(level.groupBy("key", "low", "high").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot), "hot-buckets")
+        if sizes.isEmpty():
+            found.append(_by_tree(level, width))
+            break
+        by = ["key", "low", "high"]
+        found.append(_by_tree(level.join(sizes, by, "left_anti"), width))
+        heavy = keep(level.join(sizes.drop("m"), by), "hot-runs")
+        alone = heavy.where("low = high")
+        found.append(alone.select("anchor", "content", (F.col("left") - F.col("low")).alias("from"), (F.col("left") - F.col("low")).alias("to")))
+        middle = F.floor((F.col("low") + F.col("high")) / 2)
+        halves = F.array(F.struct(F.col("low"), middle.alias("high")), F.struct((middle + 1).alias("low"), F.col("high")))
+        parts = heavy.where("low < high").withColumn("half", F.explode(halves)).withColumns({"low": F.col("half.low"), "high": F.col("half.high")}).drop("half")
+        # only runs with windows in the half
+        parts = parts.where((F.col("low") <= F.col("left")) & (F.col("left") - F.col("high") <= F.col("n") - 1))
+        shared = F.substring("body", (F.col("left") - F.col("low") + 1).cast("int"), (width + F.col("low") - F.col("high")).cast("int"))
+        level = keep(parts.withColumn("key", F.xxhash64("anchor", "low", "high", F.sha2(shared, 256))), "split-runs")
+    return reduce(DataFrame.unionByName, found)
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """doc_id, body_key, spans: the bytes (half-open, unmerged) of each document that repeated strings cover."""
-    runs = keep(_runs(docs, width, min(anchor, width)), "runs")
+    anchor = min(anchor, width)
+    runs = keep(_runs(docs, width, anchor), "runs")
     counts = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("all"), (F.min("content") != F.max("content")).alias("mixed"))
     # both sides of a join are tables, so that Spark sees a hot key's size and splits it
     counts = keep(counts.where("all > 1").drop("all"), "anchors")
@@ -220,17 +240,11 @@ def repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, hot: int
     )
     each = keep(each.select("anchor", "content", "times", "x.*"), "different-runs")
     texts = keep(_texts(docs, each, width), "run-texts")
-    heavy = keep(texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot).select("anchor"), "hot-anchors")
-    if heavy.isEmpty():
-        ranges = _by_tree(texts, width)
-    else:
-        ranges = _by_tree(texts.join(heavy, "anchor", "left_anti"), width).unionByName(_by_count(texts.join(heavy, "anchor", "left_semi"), width))
-    several = each.where("times > 1").select("anchor", "content", F.lit(0).cast("long").alias("from"), (F.col("n") - 1).alias("to"))
-    once = each.where("times = 1").select("anchor", "content")
-    ranges = several.unionByName(ranges.join(once, ["anchor", "content"], "left_semi"))
-    ranges = keep(ranges.groupBy("anchor", "content").agg(F.collect_list(F.struct("from", "to")).alias("r")), "ranges")
+    ranges = _ranges(texts, width, anchor, hot)
+    ranges = keep(ranges.groupBy("anchor", "content").agg(F.collect_set(F.struct("from", "to")).alias("r")), "ranges")
     part = found.where("mixed").join(ranges, ["anchor", "content"]).select("doc_id", "body_key", "start", F.explode("r").alias("r"))
     part = part.select("doc_id", "body_key", (F.col("start") + F.col("r.from")).alias("start"), (F.col("start") + F.col("r.to") + width).alias("end"))
+    # the bucket of a single run that stands several times is one interval
     whole = found.where("not mixed").select("doc_id", "body_key", "start", (F.col("start") + F.col("n") - 1 + width).alias("end"))
     return whole.unionByName(part).groupBy("doc_id", "body_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 

@@ -186,7 +186,7 @@ def repeated_bytes(all_texts: list[bytes], width: int):
     return out
 
 
-@pytest.mark.parametrize("hot", [4096, 1])
+@pytest.mark.parametrize("hot", [512, 3, 1])
 def test_suffix_dedup(spark, docs, hot, monkeypatch):
     own = texts()
     want = [(i, len((t or "").encode()), n, m, sha(k)) for (i, t, *_), (k, n, m) in zip(own, repeated_bytes([(t or "").encode() for _, t, *_ in own], 60))]
