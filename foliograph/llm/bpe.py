@@ -31,7 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LARGEST_FILE, KNOWN = 64 << 20, 400_000
+from foliograph.llm.common import release
+
+LARGEST_FILE, KNOWN = 64 << 20, 300_000
 NONE = 1 << 60
 LETTERS = "".join(chr(c) for c in range(256) if unicodedata.category(chr(c))[0] == "L")
 DIGITS = "".join(chr(c) for c in range(256) if unicodedata.category(chr(c))[0] == "N")
@@ -192,6 +194,7 @@ def encode(docs: DataFrame, path: str, keep_columns: tuple[str, ...] = ("doc_id"
             if texts:
                 made |= {"ids": pa.array(all_ids, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())}
             yield pa.RecordBatch.from_pydict(made)
+        release()
 
     fields = [docs.schema[c] for c in keep_columns]
     fields += [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]

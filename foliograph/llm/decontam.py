@@ -147,6 +147,17 @@ class Phrases:
         self.lengths = np.array([len(p) for p in owners], dtype=np.int64)
         self.table = np.array([(0,) * (width - len(p)) + p for p in owners], dtype=np.int32).reshape(len(owners), width)
 
+    def among(self, words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """table and lengths in the symbols of other words; a phrase with a word that is not among them gets symbol 1."""
+        symbols = np.ones(len(self.vocabulary) + 2, dtype=np.int32)
+        symbols[0] = 0
+        for w, i in self.vocabulary.items():
+            symbols[i] = words.get(w, 1)
+        table = symbols[self.table]
+        # what holds a separator is nowhere: its last symbol says so at once
+        table[(table == 1).any(axis=1), -1] = len(words) + 2
+        return table, self.lengths
+
 
 def _search_shard(shard: list[list[bytes]], blocks) -> list[tuple[list, list]]:
     """Merged hit spans and owning items of each document of the shard, given as word lists."""
@@ -157,21 +168,33 @@ def _search_shard(shard: list[list[bytes]], blocks) -> list[tuple[list, list]]:
     first = ends - sizes + np.arange(n)
     number = np.arange(total) + np.repeat(np.arange(n), sizes)
     starts_at, ends_at, owners = [], [], [set() for _ in shard]
-    for block in blocks:
-        phrases: Phrases = block()
-        if not len(phrases.lengths) or not total:
-            continue
-        find = phrases.vocabulary.get
+
+    def indexed(vocabulary: dict[bytes, int]):
+        """The shard's index over a vocabulary, or None; and the word number of each of its symbols."""
+        find = vocabulary.get
         symbols = np.fromiter((find(w, 1) for words in shard for w in words), dtype=np.int32, count=total)
         # a separator at the end of each document; then one for each run of separators
         symbols, place = np.insert(symbols, ends, 1), np.insert(number, ends, -1)
         stays = np.ones(len(symbols), dtype=bool)
         stays[1:] = (symbols[1:] != 1) | (symbols[:-1] != 1)
         symbols, place = np.append(symbols[stays], np.int32(0)), place[stays]
-        if len(symbols) < 3:
+        return FMIndex(symbols) if len(symbols) > 2 else None, place
+
+    own: dict[bytes, int] = {}
+    if len(blocks) > 1 and total:  # the shard's own words, so that it is indexed once for all blocks
+        for words in shard:
+            for w in words:
+                own.setdefault(w, len(own) + 2)
+        index, place = indexed(own)
+    for block in blocks:
+        phrases: Phrases = block()
+        if not len(phrases.lengths) or not total:
+            continue
+        if len(blocks) == 1:
+            index, place = indexed(phrases.vocabulary)
+        if index is None:
             continue
-        index = FMIndex(symbols)
-        lo, hi = index.search(phrases.table, phrases.lengths)
+        lo, hi = index.search(*phrases.among(own)) if len(blocks) > 1 else index.search(phrases.table, phrases.lengths)
         found = np.flatnonzero(hi > lo)
         if not len(found):
             continue

@@ -1,10 +1,13 @@
 """Operator 5, token counts by trie-shared dynamic programming over a unigram model.
 
-The model is the vocabulary of a public piece file, in its order, with log p = -log(rank + 2.7) (Zipf-Mandelbrot), so
-nothing is trained. A text's pre-tokens are its words, each with the word mark before it. The distinct pre-tokens of a
-worker go into a trie; each node holds the forward score of its prefix, the best sum over segmentations, and how many
-pieces that takes, computed once however many pre-tokens share the prefix, from the nodes above it. The last node of a
-pre-token is its stored count. A character that no piece covers costs one byte piece for each of its bytes.
+The model is a public piece file: its normal pieces with the scores that the file carries (for a BPE file, minus the
+place of the merge), so nothing is trained and a count is that of the segmentation with the best sum of those scores. A
+text's pre-tokens are its words, each with the word mark before it. The distinct pre-tokens of a worker go into a trie;
+each node holds the forward score of its prefix, the best sum over segmentations, and how many pieces that takes,
+computed once however many pre-tokens share the prefix, from the nodes above it. The last node of a pre-token is its
+stored count. A character that no piece covers costs one byte piece for each of its bytes. A pre-token of over LONG
+characters (texts without blanks, encoded data) gets no nodes: the same scores roll on in a window as long as the longest
+piece, so memory is bounded however long it is.
 
 Defined results. Null or word-less text: zero counts, score 0. Ties of scores go to fewer pieces. Repeated rows are
 counted row by row. Empty tables give empty results. Other columns are not read.
@@ -14,22 +17,23 @@ from __future__ import annotations
 
 from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MARK, BYTE_SCORE, LARGEST_FILE, NODES = "▁", -20.0, 64 << 20, 1_000_000
+from foliograph.llm.common import release
+
+MARK, LARGEST_FILE, NODES, LONG = "▁", 64 << 20, 400_000, 64
 
 
 def piece_scores(path: str) -> dict[str, float]:
-    """Normal pieces of a sentencepiece model file, with scores by their order."""
+    """Normal pieces of a sentencepiece model file and the scores they have there."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    names = [sp.id_to_piece(i) for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-    return {p: -float(np.log(r + 2.7)) for r, p in enumerate(names)}
+    normal = [i for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
+    return {sp.id_to_piece(i): float(sp.get_score(i)) for i in normal}
 
 
 class Node:
@@ -39,14 +43,49 @@ class Node:
         self.next, self.score, self.pieces = {}, score, pieces
 
 
-class Trie:
+class Pieces:
+    """The pieces by their ends: what may end where two characters stand."""
+
     def __init__(self, scores: dict[str, float]):
         self.scores, self.longest = scores, max(map(len, scores), default=1)
+        # a byte piece is worse than any normal piece
+        self.byte = min(scores.values(), default=0.0) - 1.0 if scores else -1.0
+        lengths: dict[str, set[int]] = {}
+        for p in scores:
+            lengths.setdefault(p[-2:], set()).add(len(p))
+        self.lengths = {end: tuple(sorted(n)) for end, n in lengths.items()}
+
+    def best(self, text: str, end: int, back: list[tuple[float, int]]) -> tuple[float, int]:
+        """Score and pieces of the first `end` characters; back[-n] are those of the first end - n."""
+        score, pieces = back[-1]
+        extra = len(text[end - 1].encode(errors="replace"))
+        score, pieces = score + self.byte * extra, pieces + extra
+        p = self.scores.get(text[end - 1])
+        if p is not None:
+            s, n = back[-1][0] + p, back[-1][1] + 1
+            if s > score or s == score and n < pieces:
+                score, pieces = s, n
+        for size in self.lengths.get(text[end - 2 : end], ()) if end > 1 else ():
+            if size > end:
+                break
+            p = self.scores.get(text[end - size : end])
+            if p is not None:
+                s, n = back[-size][0] + p, back[-size][1] + 1
+                if s > score or s == score and n < pieces:
+                    score, pieces = s, n
+        return score, pieces
+
+
+class Trie:
+    def __init__(self, scores: dict[str, float]):
+        self.pieces = Pieces(scores)
         self.root, self.nodes = Node(0.0, 0), 0
         self.known: dict[str, tuple[int, float]] = {}
 
     def count(self, word: str) -> tuple[int, float]:
         """Pieces and score of the best segmentation of the mark and the word."""
+        if len(word) > LONG:
+            return self._roll(MARK + word)
         got = self.known.get(word)
         if got is None:
             if self.nodes > NODES:
@@ -55,27 +94,25 @@ class Trie:
         return got
 
     def _insert(self, text: str) -> tuple[int, float]:
-        node, above = self.root, [self.root]
-        find, longest = self.scores.get, self.longest
+        node, above, best = self.root, [(0.0, 0)], self.pieces.best
         for end, c in enumerate(text, 1):
             child = node.next.get(c)
             if child is None:
-                extra = len(c.encode())
-                best, pieces = above[-1].score + BYTE_SCORE * extra, above[-1].pieces + extra
-                for start in range(max(0, end - longest), end):
-                    p = find(text[start:end])
-                    if p is not None:
-                        s, n = above[start].score + p, above[start].pieces + 1
-                        if s > best or s == best and n < pieces:
-                            best, pieces = s, n
-                child = node.next[c] = Node(best, pieces)
+                child = node.next[c] = Node(*best(text, end, above))
                 self.nodes += 1
             node = child
-            above.append(node)
+            above.append((node.score, node.pieces))
         return node.pieces, node.score
 
-
-_trie: dict[int, Trie] = {}
+    def _roll(self, text: str) -> tuple[int, float]:
+        """The same scores, of which only the last few are held."""
+        room = self.pieces.longest
+        back = [(0.0, 0)]
+        for end in range(1, len(text) + 1):
+            back.append(self.pieces.best(text, end, back))
+            if len(back) > 8 * room:
+                del back[:-room]
+        return back[-1][1], back[-1][0]
 
 
 def count_tokens(docs: DataFrame, path: str) -> DataFrame:
@@ -90,10 +127,13 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
             out = []
             for x in batch["__text"]:
                 words = (x.as_py() or "").split()
-                got = [trie.count(w) for w in words]
-                out.append((len(words), sum(n for n, _ in got), float(sum(s for _, s in got))))
+                # dict.get first: most words are known
+                got = [trie.known.get(w) or trie.count(w) for w in words]
+                n, scores = zip(*got) if got else ((), ())
+                out.append((len(words), sum(n), float(sum(scores))))
             columns = list(zip(*out)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["doc_id", "n_pretokens", "n_tokens", "score"])
+        release()
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())])
     return docs.select("doc_id", F.col("text").alias("__text")).mapInArrow(run, schema)

@@ -30,9 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliograph.llm.common import fresh, id_and_text, keep
+from foliograph.llm.common import fresh, id_and_text, keep, release
 
-THRESHOLD, SAMPLE, TERMS, KNOWN = 0.3, 20_000, 2000, 1_000_000
+THRESHOLD, SAMPLE, TERMS, KNOWN = 0.3, 20_000, 2000, 300_000
 SHORTEST, LONGEST, WINDOW = 4, 14, 6
 INSULTS = """
     idiot moron clown loser scum trash pathetic worthless disgusting stupid imbecile cretin dumbass bastard
@@ -188,8 +188,10 @@ def _sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["body"], batch["toxic"], *(pa.array(m) for m in marks.T)], names=["body", "toxic", "m0", "m1", "m2"])
 
     rows = rows.mapInArrow(sign, "body binary, toxic int, m0 long, m1 long, m2 long")
+    rows = rows.withColumn("key", F.xxhash64("body"))
     for mark in ("m0", "m1", "m2"):
-        rows = rows.dropDuplicates(["toxic", mark])
+        # of rows that share a mark, the one with the smallest hash stays
+        rows = rows.groupBy("toxic", mark).agg(F.min(F.struct("key", "body", *({"m0", "m1", "m2"} - {mark}))).alias("x")).select("toxic", mark, "x.*")
     return rows.select("body", "toxic")
 
 
@@ -317,6 +319,7 @@ def score(docs: DataFrame, terms: dict[str, bool], weights: np.ndarray, threshol
             x = np.array([lexicon.features(t.as_py() or "") for t in batch["text"]], dtype=float).reshape(-1, WIDTH)
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*names, *added])
+        release()
 
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(added[0], T.DoubleType()), T.StructField(added[1], T.IntegerType())])
     rows = docs.select(*names) if "text" in names else docs.select(*names, "text")

@@ -210,28 +210,48 @@ def test_interval_tree():
 
 # ---- 5
 
-def test_token_counts(spark, docs):
-    path = str(public_tokenizers.path("piece_bpe_32k.model"))
-    scores = tokencount.piece_scores(path)
-
-    def brute(word):
-        t = "▁" + word
-        best = [(0.0, 0)]
-        for i in range(1, len(t) + 1):
-            size = len(t[i - 1].encode())
-            options = [(best[i - 1][0] + tokencount.BYTE_SCORE * size, best[i - 1][1] + size)]
-            options += [(best[j][0] + scores[t[j:i]], best[j][1] + 1) for j in range(i) if t[j:i] in scores]
-            top = max(s for s, _ in options)
-            best.append((top, min(n for s, n in options if s == top)))
-        return best[-1]
+PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def brute_pieces(word: str, scores: dict, byte: float, longest: int) -> tuple[int, float]:
+    t = "▁" + word
+    best = [(0.0, 0)]
+    for i in range(1, len(t) + 1):
+        size = len(t[i - 1].encode())
+        options = [(best[i - 1][0] + byte * size, best[i - 1][1] + size)]
+        options += [(best[j][0] + scores[t[j:i]], best[j][1] + 1) for j in range(max(0, i - longest), i) if t[j:i] in scores]
+        top = max(s for s, _ in options)
+        best.append((top, min(n for s, n in options if s == top)))
+    return best[-1][1], best[-1][0]
 
+
+def test_token_counts(spark, docs):
+    scores = tokencount.piece_scores(PIECES)
+    byte, longest = min(scores.values()) - 1, max(map(len, scores))
     want = []
     for i, t, *_ in texts():
-        got = [brute(w) for w in (t or "").split() if len(w) < 200]
-        if not any(len(w) >= 200 for w in (t or "").split()):
-            want.append((i, len(got), sum(n for _, n in got), round(sum(s for s, _ in got), 6)))
-    have = [(i, a, b, round(c, 6)) for i, a, b, c in rows(tokencount.count_tokens(docs, path), "doc_id", "n_pretokens", "n_tokens", "score") if i != 40]
+        got = [brute_pieces(w, scores, byte, longest) for w in (t or "").split()]
+        want.append((i, len(got), sum(n for n, _ in got), round(sum(s for _, s in got), 6)))
+    have = [(i, a, b, round(c, 6)) for i, a, b, c in rows(tokencount.count_tokens(docs, PIECES), "doc_id", "n_pretokens", "n_tokens", "score")]
     assert sorted(have, key=str) == sorted(want, key=str)
+    assert tokencount.count_tokens(spark.createDataFrame([], EMPTY), PIECES).count() == 0
+
+
+def test_prefixes_are_shared_and_memory_is_bounded(monkeypatch):
+    scores = tokencount.piece_scores(PIECES)
+    trie = tokencount.Trie(scores)
+    trie.count("international")
+    before = trie.nodes
+    trie.count("internationally")
+    assert trie.nodes == before + 2
+    # a long word gets no nodes, and the same numbers
+    rng = random.Random(8)
+    for n in (65, 70, 200, 900):
+        word = "".join(rng.choice("abcdeé日x") for _ in range(n))
+        before = trie.nodes
+        assert trie.count(word) == pytest.approx(brute_pieces(word, scores, trie.pieces.byte, trie.pieces.longest)) and trie.nodes == before
+    monkeypatch.setattr(tokencount, "NODES", 50)
+    assert [trie.count(w) for w in ("alpha", "beta", "gamma") * 40][-3:] == [tokencount.Trie(scores).count(w) for w in ("alpha", "beta", "gamma")]
 
 
 # ---- 6
@@ -269,31 +289,136 @@ def test_toxicity_learns_held_out(spark):
     assert {r.predicted for r in bare if r.doc_id is None} == {1}
 
 
+def test_gate_and_automaton_agree():
+    """What the gate lets through or not, the automaton alone would decide alike."""
+    rng = random.Random(12)
+    letters = "abcde"
+    made = lambda lo, hi: "".join(rng.choice(letters) for _ in range(rng.randint(lo, hi)))
+    terms = {made(4, 8): rng.random() < 0.4 for _ in range(25)}
+    lexicon = toxicity.Lexicon(terms)
+    near = 0
+    for _ in range(6000):
+        w = made(4, 11)
+        if rng.random() < 0.5:
+            w = rng.choice(list(terms))
+            at = rng.randrange(len(w))
+            w = rng.choice([w[:at] + w[at + 1 :], w[:at] + rng.choice(letters) + w[at:], w[:at] + rng.choice(letters) + w[at + 1 :]]) + made(0, 3) * rng.randint(0, 1)
+        if len(w) < toxicity.SHORTEST:
+            continue
+        alone = 2 if lexicon.exact(w) else 1 if lexicon.misspelled(w) else 0
+        near += alone == 1
+        assert lexicon.kind(w) == alone, (w, terms)
+    assert near > 500
+
+
+def one_error(a: str, b: str) -> bool:
+    if abs(len(a) - len(b)) > 1:
+        return False
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1] <= 1
+
+
+def test_automaton_against_edit_distances():
+    rng = random.Random(13)
+    made = lambda lo, hi: "".join(rng.choice("abc") for _ in range(rng.randint(lo, hi)))
+    for _ in range(60):
+        terms = {made(5, 7): False for _ in range(6)}
+        lexicon = toxicity.Lexicon(terms)
+        for _ in range(60):
+            w = made(4, 8)
+            assert lexicon.misspelled(w) == any(one_error(w, t) for t in terms)
+
+
+def test_toxicity_of_odd_tables(spark):
+    d = spark.createDataFrame([], "doc_id long, text string, score string")
+    y = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.digest(d, y).count() == 0 and toxicity.drop_toxic(d, y).columns == d.columns
+    long = spark.createDataFrame([(1, "fine words " * 100_000), (2, "you moron " * 50_000), (3, "ok"), (3, "ok")], EMPTY)
+    got = rows(toxicity.digest(long, y), "doc_id", "predicted")
+    assert got == [(1, 0), (2, 1), (3, 0), (3, 0)]
+
+
 # ---- 7
 
-def test_nearest(spark):
-    rng = np.random.default_rng(9)
-    v = rng.normal(size=(700, 12)).astype(np.float32)
-    data = [(i, [float(x) for x in e], "q") for i, e in enumerate(v)]
-    data += [(1000, None, "q"), (1001, [0.0] * 12, "q"), (1002, [float("nan")] + [1.0] * 11, "q"), (1003, [None] + [1.0] * 11, "q"), (1004, [1.0, 2.0], "q"), (None, [1.0] * 12, "q"), (7, [float(x) for x in v[7]], "q")]
+EMB = "vec_id long, embedding array<float>, score string"
+
+
+def brute_nearest(data, k=10, every=100):
+    """query id: [(distance, id)] over the usable rows."""
+    use = [(i, np.array(e, dtype=np.float32).astype(float)) for i, e, *_ in data if i is not None and e is not None and len(e) == len(data[0][1]) and all(x is not None and np.isfinite(x) for x in e) and any(e)]
+    out = {}
+    for q, e in use:
+        if q % every == 0:
+            found = sorted((float(np.sqrt(((e - x) ** 2).sum())), i) for i, x in use if i != q)
+            out[q] = found[:k]
+    return out
+
+
+def found_nearest(df):
     got = collections.defaultdict(list)
-    for r in hnsw.nearest(spark.createDataFrame(data, "vec_id long, embedding array<float>, score string")).collect():
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
-    ids = np.array([*range(700), 7])
-    x = np.concatenate([v, v[7:8]]).astype(float)
-    hit = total = 0
-    assert set(got) == {i for i in range(700) if i % 100 == 0}
-    for q, found in got.items():
-        found.sort()
-        assert [r for r, _, _ in found] == list(range(1, 11)) and q not in [i for _, i, _ in found]
-        d = np.sqrt(((x - x[q]) ** 2).sum(1))
-        assert all(abs(s - d[i]) < 1e-12 for _, i, s in found)
-        want = [int(ids[k]) for k in np.lexsort((ids, d)) if ids[k] != q][:10]
-        hit, total = hit + len(set(want) & {i for _, i, _ in found}), total + 10
-    assert hit >= 0.9 * total
-    assert hnsw.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
-    few = spark.createDataFrame(data[:4], "vec_id long, embedding array<float>, score string")
-    assert [r.vec_id for r in hnsw.nearest(few).orderBy("rank").collect()] and hnsw.nearest(few).count() == 3
+    for r in df.collect():
+        got[r.query_id].append((r.rank, r.score, r.vec_id))
+    assert all([x[0] for x in sorted(v)] == list(range(1, len(v) + 1)) for v in got.values())
+    return {q: [(d, i) for _, d, i in sorted(v)] for q, v in got.items()}
+
+
+def vectors(n, dim=12, seed=9):
+    v = np.random.default_rng(seed).normal(size=(n, dim)).astype(np.float32)
+    return [(i, [float(x) for x in e], "q") for i, e in enumerate(v)]
+
+
+def test_nearest(spark):
+    data = vectors(700)
+    data += [(1000, None, "q"), (1001, [0.0] * 12, "q"), (1002, [float("nan")] + [1.0] * 11, "q"), (1003, [None] + [1.0] * 11, "q"), (1004, [1.0, 2.0], "q"), (None, [1.0] * 12, "q"), (7, data[7][1], "q")]
+    got, want = found_nearest(hnsw.nearest(spark.createDataFrame(data, EMB))), brute_nearest(data)
+    assert set(got) == set(want) == {i for i in range(700) if i % 100 == 0}
+    near = [set(i for _, i in want[q]) & set(i for _, i in got[q]) for q in want]
+    assert sum(map(len, near)) >= 0.9 * 10 * len(want)
+    assert all(abs(d - dict((i, x) for x, i in brute_nearest(data, 10**6)[q])[i]) < 1e-12 for q in got for d, i in got[q])
+
+
+def test_nearest_of_none_and_few(spark):
+    assert hnsw.nearest(spark.createDataFrame([], EMB)).count() == 0
+    for n in (1, 2, 4, 9, 12):
+        data = vectors(n)
+        assert found_nearest(hnsw.nearest(spark.createDataFrame(data, EMB))) == {q: v for q, v in brute_nearest(data).items() if v}
+
+
+@pytest.mark.parametrize("shards", [1, 5])
+def test_nearest_among_copies(spark, shards):
+    """A third of the rows one vector, one id many times, and ties: exact, as all is found."""
+    data = vectors(120)
+    data += [(1000 + i, data[0][1], "q") for i in range(60)] + [(100, data[100][1], "q")] * 130 + [(5, data[6][1], "q")] * 3
+    d = hnsw.usable(spark.createDataFrame(data, EMB).repartition(4))
+    index = hnsw.build_index(d, shard=300 // shards).cache()
+    got = found_nearest(hnsw.search(index, d.where("vec_id % 100 = 0").distinct(), room=400))
+    want = {q: [(round(x, 9), i) for x, i in v] for q, v in brute_nearest(data).items()}
+    assert {q: [(round(x, 9), i) for x, i in v] for q, v in got.items()} == want
+    got = found_nearest(hnsw.nearest(spark.createDataFrame(data, EMB)))
+    assert {q: [(round(x, 9), i) for x, i in v] for q, v in got.items()} == want
+
+
+def test_nearest_of_equal_vectors(spark):
+    data = [(i, [1.0, 2.0, 3.0], "q") for i in range(300)]
+    assert found_nearest(hnsw.nearest(spark.createDataFrame(data, EMB))) == {q: [(0.0, i) for i in range(11) if i != q][:10] for q in (0, 100, 200)}
+
+
+def test_graphs_are_one_piece():
+    rng = np.random.default_rng(4)
+    # tight clusters far apart
+    v = np.concatenate([rng.normal(size=(150, 8)) * 0.01 + 100 * rng.normal(size=8) for _ in range(6)])
+    g = hnsw.Graph(v, links=4, build=8)
+    seen, front = {g.entry}, [g.entry]
+    while front:
+        front = [j for i in front for j in g.near[0][i].tolist() if j >= 0 and j not in seen and not seen.add(j)]
+    assert len(seen) == len(v)
+    assert sorted(g.search(v[3], len(v))) == list(range(len(v)))
+    assert hnsw.Graph.load(g.dump()).search(v[3], 10) == g.search(v[3], 10)
 
 
 # ---- 8
