@@ -429,7 +429,7 @@ def test_licenses(spark):
         (7, "SPDX-License-Identifier: MIT", "x"), (8, "submit licensed Kelvin K", "x"), (9, "CC\nBY cc by", "x"), (None, "All rights reserved", "x"),
     ]
     got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(said, "doc_id long, text string, labels string")).collect()}
-    assert len(got) == len(said) and len(licenses.rules()) > 200
+    assert len(got) == len(said) and len(licenses.RULES) > 200
     for i, t, _ in said:
         w = plain_words(t or "")
         places, names = [], set()
@@ -489,6 +489,59 @@ def made_of(seq) -> list[str]:
     return out
 
 
+def brute_matches(text: str) -> list[tuple]:
+    import re
+
+    low = ascii_lower(text)
+    return [(m.start(), m.end(), rank, k, label) for k, (rank, label, word, p) in enumerate(licenses.rules()) if word in low for m in re.finditer(p, low, re.ASCII)]
+
+
+def brute_remaining(found: list[tuple]) -> list[tuple]:
+    def holds(t, s):
+        longer, s_longer = t[1] - t[0], s[1] - s[0]
+        return t[0] <= s[0] and t[1] >= s[1] and (t[2] > s[2] or t[2] == s[2] and (longer > s_longer or longer == s_longer and t[3] < s[3]))
+
+    return sorted(s for s in found if not any(holds(t, s) for t in found))
+
+
+@pytest.mark.parametrize("step", [2, 512])
+def test_suppression_of_contained_matches(spark, monkeypatch, step):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(licenses, "STEP", step)
+    rng = random.Random(14)
+    ranks, made = [20, 50, 60, 90], []
+    for i in range(150):
+        found = set()
+        for k in range(rng.randint(0, 14)):
+            a = rng.randint(0, 12)
+            found.add((a, a + rng.randint(1, 9), rng.choice(ranks), k, f"l{k}"))
+        made.append((i, sorted(found, key=lambda m: m[3])))
+    d = spark.createDataFrame(made, f"i long, found {licenses.MATCH}")
+    got = {r.i: sorted(map(tuple, r.kept)) for r in d.select("i", licenses._remaining(F.col("found"), ranks).alias("kept")).collect()}
+    assert got == {i: brute_remaining(found) for i, found in made}
+
+
+def test_licenses_against_brute_force(spark):
+    rng = random.Random(15)
+    pieces = ["gnu general public license", "version 3", "version 2", "or (at your option) any later version", "Apache License, Version 2.0", "mit license", "CC BY-NC-SA 4.0", "creative commons attribution-share alike", "spdx-license-identifier: mit", "all rights reserved", "copyright (c) 2019", "without warranty of any kind", "BSD 3-clause", "2-clause BSD license", "the", "words", "licensed under the terms of", "see LICENSE", "Mozilla Public License 2.0", "é", "."]
+    said = [(i, " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))) for i in range(120)]
+    said += [(200, None), (201, ""), (202, "x " * 150_000 + "MIT License"), (203, "cc by mit license apache license " * 1500), (204, said[0][1]), (204, said[0][1]), (None, "mit license")]
+    got = licenses.scan(spark.createDataFrame(said, EMPTY).repartition(4)).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in said)
+    text = dict(said)
+    for r in got:
+        found = brute_remaining(brute_matches(text[r.doc_id] or "")) if r.doc_id != 203 else None
+        if found is None:
+            assert r.n_base == 4500 and len(r.detections) == 4500 and r.labels == "apache,cc-by,mit"
+            continue
+        assert sorted(map(tuple, r.detections or [])) == found
+        base = set(r.base_labels.split(",")) - {""}
+        assert set(r.labels.split(",")) - {""} == base | {m[4] for m in found}
+        assert r.score == max([m[2] / 100 for m in found] + [0.6] * bool(r.n_base) + [0.0])
+    assert licenses.scan(spark.createDataFrame([], EMPTY)).count() == 0
+
+
 def test_every_license_rule_fires_alone(spark):
     import re
 
