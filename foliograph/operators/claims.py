@@ -79,21 +79,18 @@ def claim_precedence(claims: DataFrame, limits: dict[str, int] | None = None) ->
     return down.unionByName(up)
 
 
-def chain_ranks(edges: DataFrame, nodes: DataFrame, rounds: int = 40) -> DataFrame:
+def chain_ranks(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """claim_id, head and rank (from 1) of each node in its chain, by pointer doubling (C9). edges: from_claim_id, to_claim_id.
 
-    Nodes of a circle never meet a head; they are left out.
+    Nodes of a circle never meet a head; they are left out, once as many steps are taken as there are nodes.
     """
     back = edges.select(F.col("to_claim_id").alias("claim_id"), F.col("from_claim_id").alias("up"))
     d = settled(nodes.select("claim_id").distinct().join(back, "claim_id", "left").select("claim_id", F.coalesce("up", "claim_id").alias("up"), F.when(F.col("up").isNull(), 0).otherwise(1).alias("hops"), F.col("up").isNull().alias("done")))
-    for _ in range(rounds):
-        if d.where("not done").isEmpty():
-            break
+    reach, n = 1, d.count()
+    while reach <= n and not d.where("not done").isEmpty():
         above = d.select(F.col("claim_id").alias("up"), F.col("up").alias("top"), F.col("hops").alias("more"), F.col("done").alias("ended"))
-        new = d.join(above, "up").select("claim_id", F.col("top").alias("up"), (F.col("hops") + F.col("more")).alias("hops"), F.col("ended").alias("done"))
-        d = settled(new)
-        if d.agg(F.min("hops")).first()[0] is None or d.where("not done").agg(F.max("hops")).first()[0] is not None and d.count() <= (d.where("not done").agg(F.max("hops")).first()[0] or 0):
-            break
+        d = settled(d.join(above, "up").select("claim_id", F.col("top").alias("up"), (F.col("hops") + F.col("more")).alias("hops"), F.col("ended").alias("done")))
+        reach *= 2
     return d.where("done").select("claim_id", F.col("up").alias("head"), (F.col("hops") + 1).alias("rank"))
 
 
@@ -156,43 +153,93 @@ def resolve(claims: DataFrame, precedence: DataFrame, limits: dict[str, int] | N
     return d.select(*kept), g
 
 
+def _json(c: Column) -> Column:
+    """A value as JSON."""
+    text = F.to_json(F.struct(c.alias("c")), {"ignoreNullFields": "false"})
+    return F.substr(text, F.lit(6), F.length(text) - 6)
+
+
+def _object(**fields: Column) -> Column:
+    """A JSON object with sorted keys, a blank after each comma and colon."""
+    parts = [F.concat(F.lit(f'"{k}": '), _json(c)) for k, c in sorted(fields.items())]
+    return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
 def compile_directives(resolved: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A directive and its constraint for each claim that applies or is an exception."""
     d = resolved.where(F.col("status").isin("applies", "exception"))
-    ir = F.to_json(F.struct("object_canonical_id", "predicate", "subject_canonical_id"), {"ignoreNullFields": "false"})
-    did = stable_id("dir_", [F.col("precedence_scope_id"), F.col("group_kind"), F.col("group_key"), F.col("claim_id")], 16)
+    text = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    ir = _object(kind=F.lit("predicate"), predicate=text("predicate"), subject_canonical_id=F.col("subject_canonical_id"), object_canonical_id=F.col("object_canonical_id"))
+    d = d.withColumn("condition_ir", ir)
+    payload = _object(scope=text("precedence_scope_id"), topic=text("topic_key"), claim=text("claim_id"), op=text("predicate"), condition_ir=F.col("condition_ir"))
+    short = lambda c: F.substr(F.sha2(c, 256), F.lit(1), F.lit(16))
     span = F.struct("source_element_id", "sentence_idx", "char_start", "char_end")
+    codes = F.filter(F.array(text("reason"), text("status")), lambda c: c != "")
     d = d.select(
-        did.alias("directive_id"), "precedence_scope_id", F.lit(None).cast("string").alias("precedence_topic_key"), "topic_key", "predicate", ir.alias("condition_ir"),
-        F.array("claim_id").alias("supporting_claim_ids"), F.array(span).alias("supporting_spans"), F.array("reason").alias("resolution_reason_codes"), "subject_canonical_id", "object_canonical_id",
+        F.concat(F.lit("dir_"), short(payload)).alias("directive_id"), text("precedence_scope_id").alias("precedence_scope_id"), text("topic_key").alias("topic_key"), F.col("object_canonical_id").alias("target_box_id"), text("predicate").alias("op"), "condition_ir",
+        F.array(text("claim_id")).alias("supporting_claim_ids"), F.array(span).alias("supporting_spans"), codes.alias("resolution_reason_codes"),
     )
-    cid = stable_id("cr_", [F.col("directive_id")], 16)
-    return d, d.select(cid.alias("constraint_id"), "directive_id", "precedence_scope_id", "precedence_topic_key", "topic_key", "predicate", "subject_canonical_id", "object_canonical_id")
+    return d, d.select(F.concat(F.lit("cr_"), short(F.col("directive_id"))).alias("constraint_id"), *d.columns)
 
 
 # Reasons for which an edge makes no claim, in order
-REJECTIONS = ("missing_source_node", "missing_element", "missing_sentence_idx", "missing_char_span", "missing_sentence", "invalid_span", "sentence_span_mismatch", "empty_evidence")
+REJECTIONS = (
+    "missing_source_node", "missing_source_element", "missing_sentence_idx", "missing_char_span", "missing_pattern_id", "missing_polarity", "missing_rule_class",
+    "missing_element_text", "invalid_span_bounds", "missing_sentence_index", "sentence_span_mismatch", "missing_evidence_text",
+)
 
 
 def claims_from_edges(edges: DataFrame, elements: DataFrame, index: DataFrame) -> DataFrame:
     """Edges with evidence text and claim id, or the first reason against one.
 
-    edges: edge_id, doc_id, source_node_id, target_node_id, edge_type, source_element_id, sentence_idx, char_start, char_end.
+    edges: edge_id, doc_id, source_node_id, target_node_id, edge_type, source_element_id, sentence_idx, char_start,
+    char_end, pattern_matched, polarity, rule_class; subject_canonical_id and object_canonical_id where there are any. A
+    claim's id counts places within its sentence.
     """
+    for name in ("subject_canonical_id", "object_canonical_id"):
+        if name not in edges.columns:
+            edges = edges.withColumn(name, F.lit(None).cast("string"))
     text = elements.select("doc_id", F.col("element_id").alias("source_element_id"), F.col("text").alias("__text"))
     s = index.select("doc_id", "source_element_id", "sentence_idx", F.col("sentence_char_start").alias("__s"), F.col("sentence_char_end").alias("__e"))
     d = edges.join(text, ["doc_id", "source_element_id"], "left").join(s, ["doc_id", "source_element_id", "sentence_idx"], "left")
     a, b = F.col("char_start"), F.col("char_end")
     evidence = F.substr("__text", a + 1, b - a)
+    absent = lambda name: F.coalesce(F.col(name), F.lit("")) == ""
     tests = [
-        F.col("source_node_id").isNull(), F.col("__text").isNull(), F.col("sentence_idx").isNull(), a.isNull() | b.isNull(), F.col("__s").isNull(),
-        (a < 0) | (b <= a) | (b > F.length("__text")), (a < F.col("__s")) | (b > F.col("__e")), F.trim(evidence) == "",
+        absent("source_node_id"), F.col("source_element_id").isNull(), F.col("sentence_idx").isNull(), a.isNull() | b.isNull(), absent("pattern_matched"), absent("polarity"), absent("rule_class"),
+        F.col("__text").isNull(), (a < 0) | (b > F.length("__text")) | (a >= b), F.col("__s").isNull() | F.col("__e").isNull(), (a < F.col("__s")) | (b > F.col("__e")), F.coalesce(evidence, F.lit("")) == "",
     ]
     reason = F.coalesce(*[F.when(t, r) for t, r in zip(tests, REJECTIONS)])
-    parts = [F.col(c) for c in ("doc_id", "source_node_id", "target_node_id", "edge_type", "source_element_id", "sentence_idx", "char_start", "char_end")]
+    start, end = a - F.col("__s"), b - F.col("__s")
+    filled = lambda name: F.coalesce(F.col(name), F.lit(""))
+    parts = [filled("doc_id"), F.col("source_element_id").cast("string"), F.col("sentence_idx").cast("string"), start.cast("string"), end.cast("string"), F.col("edge_type"), filled("subject_canonical_id"), filled("object_canonical_id"), F.col("polarity")]
     d = d.withColumn("rejection", reason)
     ok = F.col("rejection").isNull()
-    return d.withColumns({"evidence_text": F.when(ok, evidence), "claim_id": F.when(ok, stable_id("clm_", parts, 16)), "sentence_start": F.when(ok, a - F.col("__s")), "sentence_end": F.when(ok, b - F.col("__s"))}).drop("__text", "__s", "__e")
+    claim_id = F.concat(F.lit("clm_"), F.substr(F.sha2(F.concat_ws("|", *parts), 256), F.lit(1), F.lit(16)))
+    return d.withColumns({"evidence_text": F.when(ok, evidence), "claim_id": F.when(ok, claim_id), "sentence_start": F.when(ok, start), "sentence_end": F.when(ok, end)}).drop("__text", "__s", "__e")
+
+
+def rejections(built: DataFrame) -> DataFrame:
+    """predicate, source_node_id, reason, edge_id of the edges that make no claim."""
+    return built.where("rejection is not null").select(F.col("edge_type").alias("predicate"), "source_node_id", F.col("rejection").alias("reason"), "edge_id")
+
+
+def crosswalk(built: DataFrame) -> DataFrame:
+    """claim_id, source_node_id, target_node_id, predicate, edge_id: which edge each claim comes from."""
+    return built.where("rejection is null").select("claim_id", "source_node_id", "target_node_id", F.col("edge_type").alias("predicate"), "edge_id")
+
+
+def claim_constraints(claims: DataFrame, constraints: DataFrame) -> DataFrame:
+    """claim_id, constraint_id: the constraints in a claim's sentence that its evidence holds."""
+    c = constraints.select("doc_id", "source_element_id", "sentence_idx", "constraint_id").distinct()
+    return claims.join(c, ["doc_id", "source_element_id", "sentence_idx"]).select("claim_id", "constraint_id").distinct()
+
+
+def constraint_attributes(constraints: DataFrame) -> DataFrame:
+    """constraint_id, name, value: each typed field that a constraint has."""
+    fields = [c for c in constraints.columns if c not in ("doc_id", "source_element_id", "sentence_idx", "raw_text", "constraint_id")]
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in fields])
+    return constraints.select("constraint_id", F.explode(cells).alias("a")).select("constraint_id", "a.*").where("value is not null").distinct()
 
 
 def authority_overlaps(claims: DataFrame, mentions: DataFrame) -> DataFrame:

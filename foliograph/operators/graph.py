@@ -154,17 +154,18 @@ def roots(edges: DataFrame) -> DataFrame:
     return parents.join(edges.select(F.col("target_node_id").alias("node_id")), "node_id", "left_anti")
 
 
-def reachable(edges: DataFrame, start: DataFrame, most: int = 100) -> DataFrame:
-    """node_id and the least number of steps from a start node (Q11). start: node_id."""
+def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
+    """node_id and the least number of steps from a start node (Q11), however far. start: node_id."""
     step = edges.select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("next")).distinct()
     seen = settled(start.select("node_id").distinct().withColumn("steps", F.lit(0)))
-    front = seen
-    for n in range(1, most + 1):
+    front, n = seen, 0
+    while not front.isEmpty():
+        n += 1
         new = front.join(step, "node_id").select(F.col("next").alias("node_id")).distinct().join(seen, "node_id", "left_anti")
         front = settled(new.withColumn("steps", F.lit(n)))
-        if front.isEmpty():
-            break
         seen = seen.unionByName(front)
+        if n % 16 == 0:  # one table instead of many
+            seen = settled(seen)
     return seen
 
 
@@ -183,6 +184,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -
         e = new
         if not changed:
             break
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     parts = e.select(F.col("a").alias("node_id"), F.col("b").alias("component"))
     return nodes.select("node_id").distinct().join(parts, "node_id", "left").select("node_id", F.coalesce("component", "node_id").alias("component"))
 
@@ -271,12 +274,12 @@ def children(edges: DataFrame, node: str) -> DataFrame:
     return edges.where((F.col("edge_type") == "parent_of") & (F.col("source_node_id") == node)).select(F.col("target_node_id").alias("node_id"))
 
 
-def reading_sequence(edges: DataFrame, start: str, most: int = 10_000) -> DataFrame:
+def reading_sequence(edges: DataFrame, start: str) -> DataFrame:
     """node_id and step along follows from a node, by doubling (D2); a circle ends where it closes."""
     hop = settled(edges.where("edge_type = 'follows'").select(F.col("source_node_id").alias("node_id"), F.col("target_node_id").alias("next")).distinct())
     seen = settled(edges.sparkSession.createDataFrame([(start, 0)], "node_id string, step int"))
     reach = 1
-    while reach <= most:
+    while True:
         more = seen.join(hop, "node_id").select(F.col("next").alias("node_id"), (F.col("step") + reach).alias("step"))
         new = settled(more.join(seen.select("node_id"), "node_id", "left_anti"))
         if new.isEmpty():

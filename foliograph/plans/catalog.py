@@ -281,13 +281,25 @@ def _(spark, sf):
     return M.sentence_index(d).select("doc_id", "sentence_idx", F.sha2("sentence_text", 256).alias("sha"), "sentence_char_start", "sentence_char_end")
 
 
-@query("g3_reference_extract", rf"""WITH {I.ELEMENTS}, r AS (
-  SELECT element_id, 'publication' AS ref_type, 'Pub. ' || (500 + l_partkey % 60) AS ref_text, (500 + l_partkey % 60)::VARCHAR AS target, strpos(text, 'Pub. ') - 1 AS position FROM e
-  UNION ALL SELECT element_id, 'irc_section', 'section ' || (300 + l_suppkey % 50) || '(c)(1)', (300 + l_suppkey % 50) || '(c)(1)', strpos(text, 'section ') - 1 FROM e)
-SELECT element_id, ref_type, ref_text, target, position, 'ref_' || substr(ref_type, 1, 3) || '_' || substr(sha256(concat_ws('|', element_id, ref_type, position)), 1, 8) AS ref_id FROM r""")
+# every kind of reference in every element, with a form at the end of the text
+ALL_REFERENCES = """r AS (
+  SELECT element_id, 'box_reference' AS ref_type, 'box' AS short, split_part(text, '. See', 1) AS ref_text, k AS target, 0 AS position, l_partkey, l_suppkey FROM e, unnest([l_linenumber || substr('abcdef', CAST(1 + l_partkey % 6 AS INT), 1), (1 + l_suppkey % 8) || 'a', (1 + l_partkey % 8) || 'b']) AS u(k)
+  UNION ALL SELECT element_id, 'publication', 'pub', 'Pub. ' || (500 + l_partkey % 60), (500 + l_partkey % 60)::VARCHAR, strpos(text, 'Pub. ') - 1, l_partkey, l_suppkey FROM e
+  UNION ALL SELECT element_id, 'irc_section', 'irc', 'section ' || (300 + l_suppkey % 50) || '(c)(1)', (300 + l_suppkey % 50) || '(c)(1)', strpos(text, 'section ') - 1, l_partkey, l_suppkey FROM e
+  UNION ALL SELECT element_id, 'form_reference', 'form', 'Form ' || (8000 + l_partkey % 70), (8000 + l_partkey % 70)::VARCHAR, length(text) + 6, l_partkey, l_suppkey FROM e)"""
+
+
+def _elements_with_form(spark, sf):
+    e = I.elements(spark, sf)
+    return e.withColumn("text", F.concat("text", F.lit(" File Form "), (8000 + F.col("l_partkey") % 70).cast("string"), F.lit(".")))
+
+
+@query("g3_reference_extract", f"""WITH {I.ELEMENTS}, {ALL_REFERENCES}
+SELECT DISTINCT element_id, ref_type, ref_text, target, short || '_' || target AS anchor, CASE WHEN short = 'box' THEN target IN ('1a', '2b', '3c') END AS known, CASE WHEN short <> 'box' THEN 0.9 WHEN target IN ('1a', '2b', '3c') THEN 0.95 ELSE 0.7 END::DOUBLE AS confidence,
+  position::BIGINT AS position, 'ref_' || substr(short, 1, 3) || '_' || substr(sha256(concat_ws('|', element_id, short, position)), 1, 8) AS ref_id FROM r""")
 def _(spark, sf):
-    d = M.references(I.elements(spark, sf)).where("ref_type in ('publication', 'irc_section')")
-    return d.select(F.col("source_element_id").alias("element_id"), "ref_type", "ref_text", F.col("target_keys")[0].alias("target"), F.col("position").cast("long"), "ref_id")
+    d = M.references(_elements_with_form(spark, sf), ["1a", "2b", "3c"])
+    return d.select(F.col("source_element_id").alias("element_id"), "ref_type", "ref_text", F.col("target_keys")[0].alias("target"), F.col("target_anchor_id").alias("anchor"), F.col("target_exists").alias("known"), "confidence", F.col("position").cast("long").alias("position"), "ref_id").distinct()
 
 
 @query("g3_box_reference_keys", rf"""WITH {I.ELEMENTS}, m AS (SELECT element_id, regexp_extract(text, 'boxes (\d+)a and', 1) || 'a' AS k FROM e UNION ALL SELECT element_id, regexp_extract(text, 'and (\d+)b', 1) || 'b' FROM e)
@@ -295,21 +307,21 @@ SELECT element_id, k AS target FROM m""")
 def _(spark, sf):
     # the loose gap of the box expression takes in what follows to the last list; from the second mention on, two keys
     d = I.elements(spark, sf).withColumn("text", F.regexp_extract("text", r"(boxes \d+a and \d+b)", 1))
-    return M.references(d).where("ref_type = 'box'").select(F.col("source_element_id").alias("element_id"), F.col("target_keys")[0].alias("target"))
+    return M.references(d).where("ref_type = 'box_reference'").select(F.col("source_element_id").alias("element_id"), F.col("target_keys")[0].alias("target"))
 
 
-@query("a9_reference_summary", f"""WITH {I.ELEMENTS} SELECT 'publication' AS ref_type, count(*) AS n, 0::BIGINT AS internal, count(DISTINCT l_partkey % 60) AS targets FROM e UNION ALL SELECT 'irc_section', count(*), 0, count(DISTINCT l_suppkey % 50) FROM e""")
+@query("a9_reference_summary", f"""WITH {I.ELEMENTS}, {ALL_REFERENCES}, u AS (SELECT DISTINCT element_id, ref_type, target FROM r) SELECT ref_type, count(*) AS n, count(*) FILTER (ref_type = 'box_reference' AND target IN ('1a', '2b', '3c')) AS internal, count(DISTINCT target) AS targets FROM u GROUP BY 1""")
 def _(spark, sf):
-    return M.reference_summary(M.references(I.elements(spark, sf)).where("ref_type in ('publication', 'irc_section')"))
+    d = M.references(_elements_with_form(spark, sf), ["1a", "2b", "3c"])
+    return M.reference_summary(d.dropDuplicates(["source_element_id", "ref_type", "target_anchor_id"]))
 
 
-@query("j8_reference_sentences", f"""WITH {I.ELEMENTS}, r AS (SELECT element_id, 'publication' AS ref_type, strpos(text, 'Pub. ') - 1 AS position, strpos(text, '. Include') AS a, strpos(text, 'b. See') + 1 AS b, strpos(text, '. Held') AS c FROM e
-  UNION ALL SELECT element_id, 'irc_section', strpos(text, 'section ') - 1, strpos(text, '. Include'), strpos(text, 'b. See') + 1, strpos(text, '. Held') FROM e)
-SELECT element_id, ref_type, CASE WHEN position < a THEN 0 WHEN position < b THEN 1 WHEN position < c THEN 2 ELSE 3 END AS sentence_idx FROM r""")
+@query("j8_reference_sentences", f"""WITH {I.ELEMENTS}, {ALL_REFERENCES}, p AS (SELECT DISTINCT r.element_id, ref_type, target, position, strpos(text, '. Include') AS a, strpos(text, 'b. See') + 1 AS b, strpos(text, '. Held') AS c, length(text) AS z FROM r JOIN e USING (element_id))
+SELECT element_id, ref_type, target, CASE WHEN position < a THEN 0 WHEN position < b THEN 1 WHEN position < c THEN 2 WHEN position < z THEN 3 ELSE 4 END AS sentence_idx FROM p""")
 def _(spark, sf):
-    e = I.elements(spark, sf)
-    refs = M.references(e).where("ref_type in ('publication', 'irc_section')")
-    return M.locate_references(refs, M.sentence_index(e)).select(F.col("source_element_id").alias("element_id"), "ref_type", "sentence_idx")
+    e = _elements_with_form(spark, sf)
+    d = M.locate_references(M.references(e), M.sentence_index(e))
+    return d.select(F.col("source_element_id").alias("element_id"), "ref_type", F.col("target_keys")[0].alias("target"), "sentence_idx").distinct()
 
 
 @query("g4_constraint_extract", rf"""WITH {I.ELEMENTS} SELECT element_id, 'duration' AS constraint_type, 'days' AS unit, (30 + l_partkey % 90)::BIGINT AS value_int, 'cns_' || substr(sha256('constraint_type=duration|unit=days|value_int=' || (30 + l_partkey % 90)), 1, 16) AS constraint_id FROM e""")
@@ -530,11 +542,16 @@ def _(spark, sf):
     return C.resolve(c, C.claim_precedence(c))[0].select("claim_id", F.col("rank").cast("long").alias("rank"), "status", "group_key")
 
 
-@query("c11_compiled_directives", f"WITH {I.CLAIMS} SELECT claim_id, 'dir_' || substr(sha256(concat_ws('|', precedence_scope_id, group_kind, group_key, claim_id)), 1, 16) AS directive_id, topic_key FROM res WHERE status IN ('applies', 'exception')")
+DIRECTIVES = """own AS (SELECT *, CASE WHEN group_kind = 'canonical' THEN 'form:x' END AS subject_canonical_id, CASE WHEN group_kind = 'canonical' THEN 'form:y' END AS object_canonical_id FROM res),
+ir AS (SELECT *, '{"kind": "predicate", "object_canonical_id": ' || coalesce('"' || object_canonical_id || '"', 'null') || ', "predicate": "' || predicate || '", "subject_canonical_id": ' || coalesce('"' || subject_canonical_id || '"', 'null') || '}' AS condition_ir FROM own WHERE status IN ('applies', 'exception')),
+dir AS (SELECT *, 'dir_' || substr(sha256('{"claim": "' || claim_id || '", "condition_ir": "' || replace(condition_ir, '"', '\\"') || '", "op": "' || predicate || '", "scope": "' || precedence_scope_id || '", "topic": "' || topic_key || '"}'), 1, 16) AS directive_id FROM ir)"""
+
+
+@query("c11_compiled_directives", f"WITH {I.CLAIMS}, {DIRECTIVES} SELECT claim_id, directive_id, 'cr_' || substr(sha256(directive_id), 1, 16) AS constraint_id, topic_key, predicate AS op, object_canonical_id AS target_box_id, condition_ir, status FROM dir")
 def _(spark, sf):
     c = I.claims(spark, sf)
-    d, _ = C.compile_directives(C.resolve(c, C.claim_precedence(c))[0])
-    return d.select(F.col("supporting_claim_ids")[0].alias("claim_id"), "directive_id", "topic_key")
+    d, k = C.compile_directives(C.resolve(c, C.claim_precedence(c))[0])
+    return d.join(k.select("directive_id", "constraint_id"), "directive_id").select(F.col("supporting_claim_ids")[0].alias("claim_id"), "directive_id", "constraint_id", "topic_key", "op", "target_box_id", "condition_ir", F.element_at("resolution_reason_codes", -1).alias("status"))
 
 
 @query("c9_chain_ranks", "SELECT o_orderkey AS claim_id, first_value(o_orderkey) OVER w AS head, row_number() OVER w AS rank FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
@@ -546,25 +563,29 @@ def _(spark, sf):
     return C.chain_ranks(e, o.select(F.col("o_orderkey").alias("claim_id"))).withColumn("rank", F.col("rank").cast("long"))
 
 
-@query("c1_claim_reject_reasons", f"""WITH {I.ELEMENTS}, x AS (SELECT element_id, CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE 'n' END AS node, CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_linenumber % 3 END AS si, l_suppkey % 9 AS a, l_suppkey % 9 + l_partkey % 4 AS b, text FROM e)
-SELECT CASE WHEN node IS NULL THEN 'missing_source_node' WHEN si IS NULL THEN 'missing_sentence_idx' WHEN si = 2 THEN 'missing_sentence' WHEN b <= a THEN 'invalid_span' WHEN si = 1 OR b > 8 THEN 'sentence_span_mismatch' WHEN trim(substr(text, a + 1, b - a)) = '' THEN 'empty_evidence' END AS rejection, count(*) AS n FROM x GROUP BY 1""")
+@query("c1_claim_reject_reasons", f"""WITH {I.ELEMENTS}, x AS (SELECT element_id, CASE WHEN l_partkey % 7 = 0 THEN '' ELSE 'n' END AS node, CASE WHEN l_suppkey % 10 = 0 THEN NULL WHEN l_suppkey % 10 = 1 THEN 'none' ELSE element_id END AS el, CASE WHEN l_partkey % 5 = 0 THEN NULL ELSE l_linenumber % 3 END AS si, CASE WHEN l_partkey % 19 <> 0 THEN l_suppkey % 9 END AS a, l_suppkey % 9 + l_partkey % 4 AS b,
+  CASE WHEN l_partkey % 11 <> 0 THEN 'p' END AS pattern, CASE WHEN l_partkey % 13 <> 0 THEN 'positive' END AS polarity, CASE WHEN l_partkey % 17 = 0 THEN '' ELSE 'GATING' END AS rule, text FROM e)
+SELECT element_id AS edge_id, CASE WHEN node = '' THEN 'missing_source_node' WHEN el IS NULL THEN 'missing_source_element' WHEN si IS NULL THEN 'missing_sentence_idx' WHEN a IS NULL THEN 'missing_char_span' WHEN pattern IS NULL THEN 'missing_pattern_id' WHEN polarity IS NULL THEN 'missing_polarity' WHEN rule = '' THEN 'missing_rule_class'
+  WHEN el = 'none' THEN 'missing_element_text' WHEN b <= a THEN 'invalid_span_bounds' WHEN si = 2 THEN 'missing_sentence_index' WHEN si = 1 OR b > 8 THEN 'sentence_span_mismatch' END AS rejection,
+  CASE WHEN node <> '' AND el = element_id AND si = 0 AND b <= 8 AND b > a AND pattern IS NOT NULL AND polarity IS NOT NULL AND rule <> '' THEN 'clm_' || substr(sha256(concat_ws('|', 'd', el, si, a, b, 'defines', '', 'box', 'positive')), 1, 16) END AS claim_id FROM x""")
 def _(spark, sf):
     e = I.elements(spark, sf)
     p, s = F.col("l_partkey"), F.col("l_suppkey")
-    edges = e.select(F.lit("d").alias("doc_id"), F.col("element_id").alias("edge_id"), F.when(p % 7 != 0, "n").alias("source_node_id"), F.lit("t").alias("target_node_id"), F.lit("defines").alias("edge_type"), F.col("element_id").alias("source_element_id"), F.when(p % 5 != 0, F.col("l_linenumber") % 3).cast("int").alias("sentence_idx"), (s % 9).cast("int").alias("char_start"), (s % 9 + p % 4).cast("int").alias("char_end"))
-    el = e.select(F.lit("d").alias("doc_id"), "element_id", "text")
+    el = F.when(s % 10 == 0, None).when(s % 10 == 1, "none").otherwise(F.col("element_id"))
+    edges = e.select(F.lit("d").alias("doc_id"), F.col("element_id").alias("edge_id"), F.when(p % 7 == 0, "").otherwise("n").alias("source_node_id"), F.lit("t").alias("target_node_id"), F.lit("defines").alias("edge_type"), el.alias("source_element_id"), F.when(p % 5 != 0, F.col("l_linenumber") % 3).cast("int").alias("sentence_idx"), F.when(p % 19 != 0, s % 9).cast("int").alias("char_start"), (s % 9 + p % 4).cast("int").alias("char_end"), F.when(p % 11 != 0, "p").alias("pattern_matched"), F.when(p % 13 != 0, "positive").alias("polarity"), F.when(p % 17 == 0, "").otherwise("GATING").alias("rule_class"), F.lit("box").alias("object_canonical_id"))
+    texts = e.select(F.lit("d").alias("doc_id"), "element_id", "text")
     rows = F.array(F.struct(F.lit(0).alias("sentence_idx"), F.lit(0).alias("sentence_char_start"), F.lit(8).alias("sentence_char_end")), F.struct(F.lit(1).alias("sentence_idx"), F.lit(9).alias("sentence_char_start"), F.lit(40).alias("sentence_char_end")))
     index = e.select(F.lit("d").alias("doc_id"), F.col("element_id").alias("source_element_id"), F.explode(rows).alias("r")).select("doc_id", "source_element_id", "r.*")
-    return C.claims_from_edges(edges, el, index).groupBy("rejection").agg(F.count(F.lit(1)).alias("n"))
+    return C.claims_from_edges(edges, texts, index).select("edge_id", "rejection", "claim_id")
 
 
-@query("j16_claim_authority_overlap", """WITH c AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS claim_id, l_suppkey AS el, l_linenumber AS si, l_partkey % 50 AS a, l_partkey % 50 + 10 AS b FROM lineitem WHERE l_partkey % 4 = 0), m AS (SELECT DISTINCT l_suppkey AS el, l_linenumber AS si, l_partkey % 37 AS auth, l_partkey % 60 AS a, l_partkey % 60 + 5 AS b FROM lineitem WHERE l_partkey % 50 = 1)
+@query("j16_claim_authority_overlap", """WITH c AS (SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS claim_id, l_suppkey AS el, l_linenumber AS si, l_partkey % 50 AS a, l_partkey % 50 + 10 AS b FROM lineitem), m AS (SELECT DISTINCT l_suppkey AS el, l_linenumber AS si, l_partkey % 37 AS auth, l_partkey % 60 AS a, l_partkey % 60 + 5 AS b FROM lineitem)
 SELECT DISTINCT claim_id, auth AS authority_id FROM c JOIN m ON c.el = m.el AND c.si = m.si AND c.b > m.a AND m.b > c.a""")
 def _(spark, sf):
     d = I.read(spark, sf, "lineitem")
     k = F.col("l_partkey")
-    c = d.where(k % 4 == 0).select(F.concat_ws("-", *[F.col(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("claim_id"), F.col("l_suppkey").alias("source_element_id"), F.col("l_linenumber").alias("sentence_idx"), (k % 50).alias("char_start"), (k % 50 + 10).alias("char_end"), F.lit("c").alias("evidence_text"))
-    m = d.where(k % 50 == 1).select(F.col("l_suppkey").alias("source_element_id"), F.col("l_linenumber").alias("sentence_idx"), (k % 37).alias("authority_id"), (k % 60).alias("char_start"), (k % 60 + 5).alias("char_end"), F.lit("").alias("evidence_text")).distinct()
+    c = d.select(F.concat_ws("-", *[F.col(x).cast("string") for x in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("claim_id"), F.col("l_suppkey").alias("source_element_id"), F.col("l_linenumber").alias("sentence_idx"), (k % 50).alias("char_start"), (k % 50 + 10).alias("char_end"), F.lit("c").alias("evidence_text"))
+    m = d.select(F.col("l_suppkey").alias("source_element_id"), F.col("l_linenumber").alias("sentence_idx"), (k % 37).alias("authority_id"), (k % 60).alias("char_start"), (k % 60 + 5).alias("char_end"), F.lit("").alias("evidence_text")).distinct()
     return C.authority_overlaps(c, m)
 
 
@@ -635,7 +656,7 @@ def _(spark, sf):
     return RU.derive(I.read(spark, sf, "lineitem"), ["l_orderkey"], "SUM", "l_quantity", "value")
 
 
-@query("x16_term_bindings", "SELECT * FROM (VALUES ('qualified_dividends', 'Box 1b'), ('ordinary_dividends_total', 'Box 1a'), ('capital_gain_distributions', 'Box 2a'), ('unrecaptured_section_1250_gain', 'Box 2b'), ('section_1202_gain', 'Box 2c'), ('collectibles_28_percent_gain', 'Box 2d'), ('section_897_ordinary_dividends', 'Box 2e'), ('section_897_capital_gain', 'Box 2f'), ('nondividend_distributions', 'Box 3')) v(semantic_id, place)")
+@query("x16_term_bindings", "SELECT * FROM (VALUES ('qualified_dividends', 'Box 1b'), ('ordinary_dividends_total', 'Box 1a'), ('capital_gain_distributions', 'Box 2a'), ('unrecaptured_section_1250_gain', 'Box 2b'), ('section_1202_gain', 'Box 2c'), ('collectibles_28_percent_gain', 'Box 2d'), ('section_897_ordinary_dividends', 'Box 2e'), ('section_897_capital_gain', 'Box 2f'), ('nondividend_distributions', 'Box 3'), ('federal_income_tax_withheld', 'Box 4'), ('section_199a_dividends', 'Box 5'), ('investment_expenses', 'Box 6'), ('foreign_tax_paid', 'Box 7'), ('foreign_country_or_possession', 'Box 8'), ('cash_liquidation_distributions', 'Box 9'), ('noncash_liquidation_distributions', 'Box 10'), ('exempt_interest_dividends', 'Box 12'), ('specified_private_activity_bond_interest', 'Box 13'), ('section_1202_qsbs_statement', 'Supplemental Statement')) v(semantic_id, place)")
 def _(spark, sf):
     return bindings_table(spark).where("form = '1099-DIV'").select("semantic_id", "place")
 
@@ -688,10 +709,17 @@ def _(spark, sf):
     return Q.directive_join(*C.compile_directives(r), r)
 
 
-@query("v32_predicate_health", f"WITH {I.CLAIMS} SELECT predicate, count(*) FILTER (status = 'applies') AS applies, count(*) FILTER (status = 'suppressed') AS suppressed, count(*) FILTER (status = 'exception') AS exception, count(*) FILTER (status = 'undecidable') AS undecidable, count(*) AS total, round(count(*) FILTER (status IN ('applies', 'exception')) / count(*), 6) AS win_rate, count(*) >= 5 AND count(*) FILTER (status IN ('applies', 'exception')) = 0 AS never_wins FROM res GROUP BY 1")
+@query("v32_predicate_health", f"WITH {I.CLAIMS}, many AS (SELECT precedence_scope_id, group_kind, group_key FROM res GROUP BY ALL HAVING count(*) >= 2), competing AS (SELECT DISTINCT predicate FROM res JOIN many USING (precedence_scope_id, group_kind, group_key)) SELECT predicate, count(*) FILTER (status = 'applies') AS applies, count(*) FILTER (status = 'suppressed') AS suppressed, count(*) FILTER (status = 'exception') AS exception, count(*) FILTER (status = 'undecidable') AS undecidable, count(*) AS total, round(count(*) FILTER (status = 'applies') / count(*), 6) AS apply_rate, round(count(*) FILTER (status = 'suppressed') / count(*), 6) AS suppressed_rate, round(count(*) FILTER (status = 'exception') / count(*), 6) AS exception_rate, count(*) >= 5 AND count(*) FILTER (status = 'applies') = 0 AND predicate IN (SELECT predicate FROM competing) AS never_wins FROM res GROUP BY 1")
 def _(spark, sf):
     c = I.claims(spark, sf)
-    return Q.predicate_health(C.resolve(c, C.claim_precedence(c))[0])
+    return Q.predicate_health(*C.resolve(c, C.claim_precedence(c)))
+
+
+@query("v32_predicate_gaps", "SELECT * FROM (VALUES ('p0', 'dead'), ('p1', 'never_resolved'), ('p2', 'never_compiled')) v(predicate, gap)")
+def _(spark, sf):
+    k = F.concat(F.lit("p"), (F.col("n_nationkey") % 5).cast("string"))
+    d = I.read(spark, sf, "nation").select(k.alias("predicate"), k.alias("edge_type"), k.alias("op"), F.lit("applies").alias("status"))
+    return Q.predicate_gaps(d, d.where("predicate <> 'p0'"), d.where("predicate not in ('p0', 'p1')"), d.where("predicate not in ('p0', 'p1', 'p2')"))
 
 
 @query("a21_table_hash")
@@ -707,10 +735,11 @@ def _(spark, sf):
     return PA.sample_strata(d, "l_returnflag", {"A": 50, "N": 30}, key="id").select("l_returnflag", "id")
 
 
-@query("training_pairs", f"WITH {GRAPH}, k AS (SELECT *, row_number() OVER (ORDER BY sha256(edge_id || '|42'), edge_id) AS n FROM g WHERE edge_type = 'references_box'), p AS (SELECT k.edge_id, s.text AS anchor_text, t.text AS positive_text FROM k JOIN v s ON s.node_id = source_node_id JOIN v t ON t.node_id = target_node_id WHERE n <= 50) SELECT 'pair_' || lpad(row_number() OVER (ORDER BY edge_id)::VARCHAR, 4, '0') AS pair_id, edge_id, anchor_text, positive_text, 'related' AS pair_category FROM p")
+@query("training_pairs", f"""WITH {GRAPH}, k AS (SELECT *, CASE WHEN edge_type = 'parent_of' THEN 'hierarchical' ELSE 'cross_reference' END AS cat FROM g), n AS (SELECT *, row_number() OVER (PARTITION BY cat ORDER BY sha256(edge_id || '|42'), edge_id) AS n FROM k),
+p AS (SELECT n.edge_id, n.edge_type, cat, s.text AS anchor_text, t.text AS positive_text, source_node_id FROM n JOIN v s ON s.node_id = source_node_id JOIN v t ON t.node_id = target_node_id WHERE n <= CASE cat WHEN 'hierarchical' THEN 50 ELSE 100 END) SELECT 'pair_' || lpad(row_number() OVER (ORDER BY cat, edge_id, source_node_id)::VARCHAR, 4, '0') AS pair_id, edge_id, edge_type, trim(anchor_text) AS anchor_text, trim(positive_text) AS positive_text, cat AS pair_category FROM p""")
 def _(spark, sf):
     d = PA.training_pairs(I.edges(spark, sf).withColumn("confidence", F.lit(0.9)), I.nodes(spark, sf))
-    return d.select("pair_id", "edge_id", "anchor_text", "positive_text", "pair_category")
+    return d.select("pair_id", "edge_id", "edge_type", "anchor_text", "positive_text", "pair_category")
 
 
 @query("a16_pair_stats", "SELECT l_returnflag AS pair_category, l_linestatus AS edge_type, count(*) AS n, round(avg(l_discount), 6) AS mean_confidence FROM lineitem GROUP BY ALL")
@@ -719,14 +748,14 @@ def _(spark, sf):
 
 
 BM25_SQL = r"""WITH t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM documents) GROUP BY ALL), dl AS (SELECT doc_id, sum(tf) AS dl FROM t GROUP BY 1),
-q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark WHERE item_id < 10), n AS (SELECT count(*) AS n, (SELECT sum(dl) FROM dl) / count(*) AS av FROM documents), df AS (SELECT term, count(*) AS df FROM t GROUP BY 1),
+q AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM benchmark), n AS (SELECT count(*) AS n, (SELECT sum(dl) FROM dl) / count(*) AS av FROM documents), df AS (SELECT term, count(*) AS df FROM t GROUP BY 1),
 s AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / av))), 6) AS score FROM q JOIN t USING (term) JOIN df USING (term) JOIN dl USING (doc_id), n GROUP BY ALL)
 SELECT query_id, doc_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 20"""
 
 
 @query("d6_bm25", BM25_SQL)
 def _(spark, sf):
-    q = I.read(spark, sf, "benchmark").where("item_id < 10").select(F.col("item_id").alias("query_id"), "text")
+    q = I.read(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return R.bm25(I.read(spark, sf, "documents"), q, 20).select("query_id", "doc_id", "rank")
 
 
@@ -752,19 +781,19 @@ def _(spark, sf):
     return R.reciprocal_rank_fusion([a, b])
 
 
-@query("d12_ranking_measures", f"WITH {COSINE}, h AS (SELECT query_id, count(*) AS hits, min(rank) AS best, sum(1 / log2(rank + 1)) AS dcg FROM c WHERE rank <= 10 AND vec_id % 7 = 0 GROUP BY 1), n AS (SELECT q AS query_id, count(*) AS n FROM v, (SELECT vec_id AS q FROM v WHERE vec_id % 100 = 0) WHERE vec_id % 7 = 0 AND vec_id < 200 GROUP BY 1), h2 AS (SELECT query_id, count(*) AS hits, min(rank) AS best, sum(1 / log2(rank + 1)) AS dcg FROM c WHERE rank <= 10 AND vec_id % 7 = 0 AND vec_id < 200 GROUP BY 1) SELECT query_id, round(coalesce(hits / n, 0), 6) AS recall, round(coalesce(1.0 / best, 0), 6)::DOUBLE AS rr, round(coalesce(dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, least(n, 10) + 1) t(i)), 0), 6) AS ndcg FROM n LEFT JOIN h2 USING (query_id)")
+@query("d12_ranking_measures", f"WITH {COSINE}, rel AS (SELECT q.vec_id AS query_id, x.vec_id FROM embeddings q JOIN embeddings x ON x.label = q.label WHERE q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id), n AS (SELECT query_id, count(*) AS n FROM rel GROUP BY 1), h AS (SELECT query_id, count(*) AS hits, min(rank) AS best, sum(1 / log2(rank + 1)) AS dcg FROM c JOIN rel USING (query_id, vec_id) WHERE rank <= 10 GROUP BY 1) SELECT query_id, round(coalesce(hits / n, 0), 6) AS recall, round(coalesce(1.0 / best, 0), 6)::DOUBLE AS rr, round(coalesce(dcg / (SELECT sum(1 / log2(i + 1)) FROM range(1, least(n, 10) + 1) t(i)), 0), 6) AS ndcg FROM n LEFT JOIN h USING (query_id)")
 def _(spark, sf):
     v = I.read(spark, sf, "embeddings")
-    queries = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"))
-    relevant = v.where("vec_id % 7 = 0 and vec_id < 200").select(F.col("vec_id").alias("item")).join(F.broadcast(queries.select("query_id").limit(10_000)))
+    queries = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "label")
+    relevant = v.select(F.col("vec_id").alias("item"), "label").join(queries, "label").where("item <> query_id").select("query_id", "item")
     return R.ranking_measures(_cosine(spark, sf).select("query_id", F.col("vec_id").alias("item"), "rank"), relevant)
 
 
-@query("d11_hard_negatives", f"WITH {I.EDGES}, b AS (SELECT source_node_id AS a, target_node_id AS b FROM g WHERE edge_type = 'parent_of' UNION SELECT target_node_id, source_node_id FROM g WHERE edge_type = 'parent_of'), n0 AS (SELECT 'n' || n_nationkey AS q FROM nation), n1 AS (SELECT q, b FROM n0 JOIN b ON b.a = q), n2 AS (SELECT q, b.b FROM n1 JOIN b ON b.a = n1.b), near AS (SELECT q, q AS x FROM n0 UNION SELECT * FROM n1 UNION SELECT * FROM n2) SELECT 'n' || n_nationkey AS query_id, 'r' || r_regionkey AS node_id FROM nation, region WHERE NOT EXISTS (SELECT 1 FROM near WHERE q = 'n' || n_nationkey AND x = 'r' || r_regionkey)")
+@query("d11_hard_negatives", f"WITH {I.EDGES}, b AS (SELECT source_node_id AS a, target_node_id AS b FROM g WHERE edge_type = 'parent_of' UNION SELECT target_node_id, source_node_id FROM g WHERE edge_type = 'parent_of'), n0 AS (SELECT 'n' || n_nationkey AS q FROM nation), n1 AS (SELECT q, b FROM n0 JOIN b ON b.a = q), n2 AS (SELECT q, b.b FROM n1 JOIN b ON b.a = n1.b), near AS (SELECT q, q AS x FROM n0 UNION SELECT * FROM n1 UNION SELECT * FROM n2) SELECT 'n' || n_nationkey AS query_id, 'r' || r_regionkey AS node_id FROM nation JOIN region ON n_nationkey % 2 = r_regionkey % 2 WHERE NOT EXISTS (SELECT 1 FROM near WHERE q = 'n' || n_nationkey AND x = 'r' || r_regionkey)")
 def _(spark, sf):
-    nation = I.read(spark, sf, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("query_id"))
-    region = I.read(spark, sf, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node_id"))
-    return R.hard_negatives(nation.join(F.broadcast(region.limit(100))), I.edges(spark, sf).where("edge_type = 'parent_of'"), nation.withColumn("node_id", F.col("query_id")))
+    nation = I.read(spark, sf, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("query_id"), (F.col("n_nationkey") % 2).alias("k"))
+    region = I.read(spark, sf, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node_id"), (F.col("r_regionkey") % 2).alias("k"))
+    return R.hard_negatives(nation.join(region, "k").select("query_id", "node_id"), I.edges(spark, sf).where("edge_type = 'parent_of'"), nation.select("query_id", F.col("query_id").alias("node_id")))
 
 
 @query("d13_mutual_exclusion", "SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1")

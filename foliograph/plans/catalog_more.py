@@ -68,7 +68,7 @@ def _(spark, sf):
     return d.select("p_type", RG.carrier_type(F.col("p_type")).alias("carrier"))
 
 
-@query("p27_slots", "SELECT * FROM (VALUES ('box', 13), ('line', 4)) v(kind, n)")
+@query("p27_slots", "SELECT * FROM (VALUES ('box', 31), ('line', 5), ('statement', 2)) v(kind, n)")
 def _(spark, sf):
     return bindings_table(spark).groupBy(RG.carrier_type(F.col("place")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 

@@ -41,14 +41,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, size = F.col("n"), F.length("line_text")
     x = ((n % 3) * 4 + F.when(n % 5 == 0, 300).otherwise(50)).cast("double")
     return d.select(
-        "doc_id", (1 + F.floor(n / 40)).cast("int").alias("page"), (F.floor(n / 8)).cast("int").alias("block_id"), n.cast("int").alias("line_id"), F.substr("line_text", F.lit(1), F.lit(200)).alias("line_text"),
+        "doc_id", (1 + F.floor(n / 40)).cast("int").alias("page"), (F.floor(n / 8)).cast("int").alias("block_id"), n.cast("int").alias("line_id"), "line_text",
         x.alias("geom_x0"), ((n % 40) * 12).cast("double").alias("geom_y0"), (x + F.least(size, F.lit(100)) * 2).alias("geom_x1"), ((n % 40) * 12 + 8 + n % 3).cast("double").alias("geom_y1"),
         F.when(n % 7 == 0, 12.0).otherwise(9.0).alias("line_size"), (n % 4 == 0).alias("line_bold"), F.array(F.concat(F.lit("s"), n.cast("string"))).alias("span_ids"), (n % 8).cast("int").alias("line_idx_in_block"),
     )
 
 
 LINES = r"""l AS (SELECT *, x0 AS geom_x0, x0 + least(size, 100) * 2.0 AS geom_x1 FROM (
-  SELECT doc_id, 1 + n // 40 AS page, n // 8 AS block_id, n AS line_id, substr(t, 1, 200) AS line_text, length(t) AS size,
+  SELECT doc_id, 1 + n // 40 AS page, n // 8 AS block_id, n AS line_id, t AS line_text, length(t) AS size,
     ((n % 3) * 4 + CASE WHEN n % 5 = 0 THEN 300 ELSE 50 END)::DOUBLE AS x0, ((n % 40) * 12)::DOUBLE AS geom_y0, ((n % 40) * 12 + 8 + n % 3)::DOUBLE AS geom_y1,
     CASE WHEN n % 7 = 0 THEN 12.0 ELSE 9.0 END::DOUBLE AS line_size, n % 4 = 0 AS line_bold, n % 8 AS line_idx_in_block
   FROM (SELECT 'd' || doc_id AS doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents)))"""

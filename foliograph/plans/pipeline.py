@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliograph.functions.text import canonical_authority, section_id, stable_id, subsection_id
 from foliograph.operators import claims as C
+from foliograph.operators import regimes as RG
 from foliograph.operators import graph as G
 from foliograph.operators import layout as L
 from foliograph.operators import mentions as M
@@ -46,15 +47,15 @@ def build(spans: DataFrame, body_size: float = 9.0, form: str = FORM) -> dict[st
     index = settled(M.sentence_index(placed.where("role in ('BodyTextBlock', 'ListBlock')")))
     valid = anchors.where("box_key is not null").groupBy("doc_id").agg(F.collect_set("box_key").alias("valid_box_keys"))
     refs = M.references(placed.where("role in ('BodyTextBlock', 'ListBlock')")).join(valid, "doc_id", "left")
-    inside = F.when(F.col("ref_type") == "box", F.coalesce(F.array_contains("valid_box_keys", F.col("target_keys")[0]), F.lit(False)))
-    refs = settled(M.locate_references(refs.withColumn("target_exists", inside).drop("valid_box_keys"), index))
+    inside = F.when(F.col("ref_type") == "box_reference", F.coalesce(F.array_contains("valid_box_keys", F.col("target_keys")[0]), F.lit(False)))
+    refs = settled(M.locate_references(refs.withColumn("target_exists", inside).withColumn("confidence", F.when(F.col("ref_type") != "box_reference", F.col("confidence")).when(F.col("target_exists"), 0.95).otherwise(M.UNKNOWN_BOX)).drop("valid_box_keys"), index))
     forced = refs.where("target_exists").select("doc_id", F.col("source_element_id").alias("element_id"))
     nodes = settled(G.union_all(G.root_nodes(sections), G.section_nodes(sections), G.paragraph_nodes(placed, forced)))
 
     place = placed.groupBy("doc_id", "anchor_id").agg(F.min("reading_order").alias("position"))
     heads = sections.join(place, ["doc_id", "anchor_id"]).withColumn("node_id", F.concat_ws(":", "doc_id", "anchor_id"))
     paragraphs = nodes.where("node_type = 'paragraph'")
-    box_refs = refs.where("ref_type = 'box' and target_exists").select(F.concat(F.col("doc_id"), F.lit(":"), "source_anchor_id").alias("source"), F.concat(F.col("doc_id"), F.lit(":"), "target_anchor_id").alias("target"), F.struct("page", "position").alias("ordinal"))
+    box_refs = refs.where("ref_type = 'box_reference' and target_exists").select(F.concat(F.col("doc_id"), F.lit(":"), "source_anchor_id").alias("source"), F.concat(F.col("doc_id"), F.lit(":"), "target_anchor_id").alias("target"), F.struct("page", "position").alias("ordinal"))
     groups = anchors.where("is_grouped").select(F.concat_ws(":", "doc_id", "group_id").alias("group_id"), F.concat_ws(":", "doc_id", "anchor_id").alias("node_id"), "member")
     skeleton = G.union_all(
         G.hierarchy_edges(heads), G.follows_edges(heads, ["doc_id"], ["position", "node_id"]), G.follows_edges(paragraphs, ["doc_id", "anchor_id"], ["reading_order"]), G.in_section_edges(heads),
@@ -63,17 +64,21 @@ def build(spans: DataFrame, body_size: float = 9.0, form: str = FORM) -> dict[st
     typed = typed_edges(paragraphs, sections, valid, form)
     edges = settled(G.existing(G.union_all(skeleton, typed), nodes))
 
-    claims = claims_of(typed, paragraphs, index, form)
+    built = built_claims(typed, paragraphs, index, form)
+    claims = settled(C.topic_keys(built.where("rejection is null")))
+    walk = C.crosswalk(built)
     precedence = settled(C.claim_precedence(claims))
     resolved, groups_ = C.resolve(claims, precedence)
     resolved = settled(resolved)
     directives, compiled = C.compile_directives(resolved)
-    authorities = refs.where("ref_type <> 'box'").withColumn("authority_id", F.coalesce(canonical_authority(F.col("ref_text")), stable_id("authority:raw:", [F.col("ref_text")])))
+    authorities = refs.where("ref_type <> 'box_reference'").withColumn("authority_id", F.coalesce(canonical_authority(F.col("ref_text")), stable_id("authority:raw:", [F.col("ref_text")])))
     mentions = authorities.select("doc_id", "authority_id", "source_element_id", "sentence_idx", F.col("position").alias("char_start"), (F.col("position") + F.length("ref_text")).alias("char_end"), F.col("ref_text").alias("evidence_text"))
     return {
         "lines": lines, "elements": placed, "anchors": anchors, "sections": sections, "element_sentences": index, "references": refs, "graph_nodes": nodes, "graph_edges": edges, "typed_edges": typed,
         "struct_nodes": C.structure_overlay(nodes, index), "authorities": authorities.groupBy("authority_id").agg(F.min_by("ref_text", F.struct("source_element_id", "position")).alias("raw_text")),
         "authority_mentions": mentions, "claims": claims, "constraints": M.constraints(index), "claim_authority_mentions": C.authority_overlaps(claims, mentions), "claim_precedence": precedence,
+        "claim_rejections": C.rejections(built), "claim_edges": walk.select("claim_id", "source_node_id", "target_node_id", "predicate"), "typed_edge_claims": walk.select("edge_id", "claim_id", "predicate"),
+        "claim_constraints": C.claim_constraints(claims, M.constraints(index)), "constraint_attributes": C.constraint_attributes(M.constraints(index)), "paragraph_authority_edges": RG.authority_links(refs, nodes),
         "resolved_claims": resolved, "resolution_groups": groups_, "compiled_directives": directives, "constraints_resolved": compiled,
     }
 
@@ -96,13 +101,15 @@ def typed_edges(paragraphs: DataFrame, sections: DataFrame, valid: DataFrame, fo
     return settled(TE.dedupe_edges(d, "pattern_matched"))
 
 
-def claims_of(typed: DataFrame, paragraphs: DataFrame, index: DataFrame, form: str) -> DataFrame:
-    """Claims of the typed edges that have a sentence, with scope and topic."""
-    e = typed.where("source_element_id is not null").select("edge_id", "doc_id", "source_node_id", "target_node_id", "edge_type", "source_element_id", F.col("evidence_sentence_idx").alias("sentence_idx"), F.col("evidence_char_start").alias("char_start"), F.col("evidence_char_end").alias("char_end"))
-    built = C.claims_from_edges(e, paragraphs.select("doc_id", "element_id", "text"), index).where("rejection is null")
+def built_claims(typed: DataFrame, paragraphs: DataFrame, index: DataFrame, form: str) -> DataFrame:
+    """The typed edges of elements with what makes them claims, or the reason against it."""
     box = F.concat(F.lit(f"{form}:box:"), F.regexp_extract("target_node_id", ":box_(.+)$", 1))
-    d = built.withColumns({"predicate": F.col("edge_type"), "subject_canonical_id": F.lit(None).cast("string"), "object_canonical_id": box, "precedence_scope_id": F.col("source_node_id")})
-    return settled(C.topic_keys(d))
+    e = typed.where("source_element_id is not null").select(
+        "edge_id", "doc_id", "source_node_id", "target_node_id", "edge_type", "source_element_id", F.col("evidence_sentence_idx").alias("sentence_idx"), F.col("evidence_char_start").alias("char_start"), F.col("evidence_char_end").alias("char_end"),
+        "pattern_matched", "polarity", "rule_class", F.lit(None).cast("string").alias("subject_canonical_id"), box.alias("object_canonical_id"),
+    )
+    built = C.claims_from_edges(e, paragraphs.select("doc_id", "element_id", "text"), index)
+    return settled(built.withColumns({"predicate": F.col("edge_type"), "precedence_scope_id": F.col("source_node_id")}))
 
 
 def checks(tables: dict[str, DataFrame]) -> DataFrame:

@@ -68,7 +68,9 @@ def test_as_of_and_intervals(spark):
 def test_measures(spark):
     got = R.ranking_measures(spark.createDataFrame([(1, 7, 2), (1, 8, 3)], "query_id int, item int, rank int"), spark.createDataFrame([(1, 7), (1, 9), (2, 5)], "query_id int, item int"))
     assert {r.query_id: (r.recall, r.rr) for r in got.collect()} == {1: (0.5, 0.5), 2: (0.0, 0.0)}
-    assert R.parse_ontology("## Box\n- **includes** → Amount\ntext") == (["Box"], [("Box", "includes", "Amount")])
+    text = "# Form 1099-DIV Ontology\n## 3. Distributions\n### Rule: Ordinary First\n* **Ordinary Dividends** (Box 1a)\n* **Box 1a** —(includes)—> **Box 1b**\n* Box 2a —(excludes)—> Box 3\ntext"
+    assert R.parse_ontology(text) == (["Distributions", "Ordinary First", "Ordinary Dividends"], [("Box 1a", "includes", "Box 1b"), ("Box 2a", "excludes", "Box 3")])
+    assert R.ontology_form(text) == "1099-DIV"
 
 
 def test_long_chains_are_no_cycles(spark):

@@ -33,6 +33,7 @@ def test_spans_to_graph(spark, tmp_path):
     # the same again gives the same
     from foliograph.operators.quality import table_hash
 
+    assert T.missing_tables(spark, str(tmp_path / "out")) == []
     again = pipeline.run(spark, spans.repartition(5), str(tmp_path / "again"))
     for n in ("graph_nodes", "typed_edges", "resolved_claims"):
         assert table_hash(read(n)).first() == table_hash(spark.read.parquet(again[n])).first()
@@ -68,10 +69,25 @@ def test_empty_lines(spark):
 
 def test_merge_cascades():
     def row(i, body, header=""):
-        return {"doc_id": "d", "anchor_id": i, "anchor_type": "subsection", "header_text": header, "body_text": body, "element_ids": [i], "pages": [1], "page": 1, "x_column": 0, "y0": float(ord(i[0])), "merged_from": []}
+        return {"doc_id": "d", "anchor_id": i, "anchor_type": "subsection", "label": header or i, "header_text": header, "body_text": body, "full_text": body, "char_count": len(header) + len(body), "element_ids": [i], "pages": [1], "page": 1, "x_column": 0, "y0": float(ord(i[0])), "merged_from": []}
 
     got = S.merge_rows([row("a", "short"), row("b", "x" * 400), row("c", "y" * 400)])
     assert [(r["anchor_id"], r["merged_from"]) for r in got] == [("b", ["a"]), ("c", [])]
     assert got[0]["body_text"].startswith("short\n\nx") and got[0]["element_ids"] == ["a", "b"]
     other = row("d", "short") | {"page": 2}
     assert len(S.merge_rows([row("a", "x" * 400), other])) == 2
+
+
+def test_what_may_take_a_thin_section():
+    def row(i, kind="subsection", body="short", header="", y=0.0):
+        return {"doc_id": "d", "anchor_id": i, "anchor_type": kind, "label": f"L{i}", "header_text": header, "body_text": body, "full_text": body, "char_count": len(body), "element_ids": [i], "pages": [1], "page": 1, "x_column": 0, "y0": y, "merged_from": []}
+
+    big = "y" * 400
+    assert S.fits(row("a"), row("b", body=big)) is None
+    assert S.fits(row("a"), row("b", body=big, header="H")) == "target_has_header"
+    assert S.fits(row("a"), row("b", "box_section")) == "target_is_box"
+    assert S.fits(row("a", y=50.0), row("b", y=2.0)) == "source_below_target" and S.fits(row("a", y=3.0), row("b", y=2.0)) is None
+    assert S.fits(row("a", body="x"), row("b", "section")) is None and S.fits(row("a", body=big), row("b", "section")) == "source_has_substantial_body"
+    assert S.fits(row("a"), row("b") | {"page": 2}) == "different_page" and S.fits(row("a"), row("b") | {"x_column": 1}) == "different_column"
+    got = S.merge_rows([row("a"), row("b", "section", big, "Head", 1.0)])
+    assert [(r["header_text"], r["body_text"], r["char_count"]) for r in got] == [("La\nHead", f"short\n\n{big}", len(f"La\nHead\n\nshort\n\n{big}"))]
