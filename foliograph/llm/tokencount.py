@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from foliograph.llm.common import release
 
-MARK, LARGEST_FILE, NODES, LONG = "▁", 64 << 20, 400_000, 64
+MARK, LARGEST_FILE, NODES, KNOWN, LONG = "▁", 64 << 20, 600_000, 400_000, 64
 
 
 def piece_scores(path: str) -> dict[str, float]:
@@ -57,22 +57,22 @@ class Pieces:
 
     def best(self, text: str, end: int, back: list[tuple[float, int]]) -> tuple[float, int]:
         """Score and pieces of the first `end` characters; back[-n] are those of the first end - n."""
-        score, pieces = back[-1]
-        extra = len(text[end - 1].encode(errors="replace"))
-        score, pieces = score + self.byte * extra, pieces + extra
-        p = self.scores.get(text[end - 1])
-        if p is not None:
-            s, n = back[-1][0] + p, back[-1][1] + 1
-            if s > score or s == score and n < pieces:
-                score, pieces = s, n
+        find, last = self.scores.get, text[end - 1]
+        p, (score, pieces) = find(last), back[-1]
+        if p is None:
+            extra = len(last.encode(errors="replace"))
+            score, pieces = score + self.byte * extra, pieces + extra
+        else:  # better than a byte piece
+            score, pieces = score + p, pieces + 1
         for size in self.lengths.get(text[end - 2 : end], ()) if end > 1 else ():
             if size > end:
                 break
-            p = self.scores.get(text[end - size : end])
+            p = find(text[end - size : end])
             if p is not None:
-                s, n = back[-size][0] + p, back[-size][1] + 1
-                if s > score or s == score and n < pieces:
-                    score, pieces = s, n
+                s, n = back[-size]
+                s += p
+                if s > score or s == score and n + 1 < pieces:
+                    score, pieces = s, n + 1
         return score, pieces
 
 
@@ -89,7 +89,9 @@ class Trie:
         got = self.known.get(word)
         if got is None:
             if self.nodes > NODES:
-                self.root, self.nodes, self.known = Node(0.0, 0), 0, {}
+                self.root, self.nodes = Node(0.0, 0), 0
+            if len(self.known) >= KNOWN:
+                self.known.clear()
             got = self.known[word] = self._insert(MARK + word)
         return got
 
