@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from foliograph.llm.common import release
 
-MARK, LARGEST_FILE, NODES, KNOWN, LONG = "▁", 64 << 20, 600_000, 400_000, 64
+MARK, LARGEST_FILE, NODES, KNOWN, LONG = "▁", 64 << 20, 1_500_000, 500_000, 64
 
 
 def piece_scores(path: str) -> dict[str, float]:
