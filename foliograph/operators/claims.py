@@ -224,6 +224,12 @@ def rejections(built: DataFrame) -> DataFrame:
     return built.where("rejection is not null").select(F.col("edge_type").alias("predicate"), "source_node_id", F.col("rejection").alias("reason"), "edge_id")
 
 
+def status_counts(resolved: DataFrame) -> DataFrame:
+    """How many claims of each group apply, are suppressed, are exceptions, are undecidable. Other statuses count nowhere."""
+    names = ("applies", "suppressed", "exception", "undecidable")
+    return resolved.groupBy(*GROUP).agg(*[F.count_if(F.col("status") == n).alias(n) for n in names])
+
+
 def crosswalk(built: DataFrame) -> DataFrame:
     """claim_id, source_node_id, target_node_id, predicate, edge_id: which edge each claim comes from."""
     return built.where("rejection is null").select("claim_id", "source_node_id", "target_node_id", F.col("edge_type").alias("predicate"), "edge_id")

@@ -542,6 +542,12 @@ def _(spark, sf):
     return C.resolve(c, C.claim_precedence(c))[0].select("claim_id", F.col("rank").cast("long").alias("rank"), "status", "group_key")
 
 
+@query("a13_group_status_counts", f"WITH {I.CLAIMS} SELECT precedence_scope_id, group_kind, group_key, count(*) FILTER (status = 'applies') AS applies, count(*) FILTER (status = 'suppressed') AS suppressed, count(*) FILTER (status = 'exception') AS exception, count(*) FILTER (status = 'undecidable') AS undecidable FROM res GROUP BY ALL")
+def _(spark, sf):
+    c = I.claims(spark, sf)
+    return C.status_counts(C.resolve(c, C.claim_precedence(c))[0])
+
+
 DIRECTIVES = """own AS (SELECT *, CASE WHEN group_kind = 'canonical' THEN 'form:x' END AS subject_canonical_id, CASE WHEN group_kind = 'canonical' THEN 'form:y' END AS object_canonical_id FROM res),
 ir AS (SELECT *, '{"kind": "predicate", "object_canonical_id": ' || coalesce('"' || object_canonical_id || '"', 'null') || ', "predicate": "' || predicate || '", "subject_canonical_id": ' || coalesce('"' || subject_canonical_id || '"', 'null') || '}' AS condition_ir FROM own WHERE status IN ('applies', 'exception')),
 dir AS (SELECT *, 'dir_' || substr(sha256('{"claim": "' || claim_id || '", "condition_ir": "' || replace(condition_ir, '"', '\\"') || '", "op": "' || predicate || '", "scope": "' || precedence_scope_id || '", "topic": "' || topic_key || '"}'), 1, 16) AS directive_id FROM ir)"""
