@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from foliograph.llm.common import discard, fresh, id_and_text, keep, mix, release
 
@@ -310,8 +311,11 @@ def keep_one(docs: DataFrame, width: int = WIDTH, budget: int = BUDGET) -> DataF
 
 #: Words, similarity and words of 64 bits of the wider sketches; the chance that a pair just as similar meets in no table.
 WORDS, SIMILARITY, SKETCH, MISS = 5, 0.8, 4, 0.02
-#: Standard errors below the mean distance at which a link is sure, and above it up to which a pair is a candidate.
-SURE, LOOSE = 2.0, 2.5
+#: Standard errors below the mean distance at the threshold up to which sketches propose a link.
+SURE = 2.0
+#: One in so many shingles must be shared among a set's lowest ones; sets of one block when pairs are judged, and when all
+#: pairs of a cluster are; nodes of a shingle from which on they are a cluster.
+SPARE, BLOCK, SIDE, COMMON = 8, 2000, 400, 256
 
 
 def shingles(text: bytes, width: int = WORDS) -> np.ndarray:
@@ -329,7 +333,10 @@ def shingles(text: bytes, width: int = WORDS) -> np.ndarray:
 
 def sketch(text: bytes, width: int = WORDS) -> np.ndarray:
     """SKETCH independent fingerprints of 64 bits of the set of shingles: one XXH64 for each, scrambled in as many ways."""
-    h = np.unique(shingles(text, width))
+    return sketch_of(np.unique(shingles(text, width)))
+
+
+def sketch_of(h: np.ndarray) -> np.ndarray:
     if not len(h):
         return np.zeros(SKETCH, dtype=np.uint64)
     out = []
@@ -353,29 +360,54 @@ def bit_budget(bits: int, similarity: float = SIMILARITY, errors: float = 0.0) -
     return bits * share + errors * math.sqrt(bits * share * (1 - share))
 
 
-def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, crowd: int = 4096) -> DataFrame:
-    """a, b: links between doc_ids whose sets of shingles of width words are at least so similar (Jaccard).
+def least_common(n, similarity: float = SIMILARITY):
+    """Shingles that a set of n has in common with any set so similar (and that such a set has at least)."""
+    return np.ceil(similarity * np.asarray(n) - 1e-6).astype(np.int64)
+
+
+def least_low(n):
+    """Lowest shingles that sets of at least n, cut by lowest(), have in common if they are similar enough."""
+    return np.maximum(1, np.asarray(n) // SPARE)
+
+
+def lowest(n, similarity: float = SIMILARITY):
+    """How many of a set's n shingles are kept as its lowest ones.
+
+    Two sets with o shingles in common share k of them among their first n - o + k in any order that both follow.
+    """
+    return np.minimum(n, n - least_common(n, similarity) + least_low(n))
+
+
+def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMILARITY, crowd: int = 4096, common: int = COMMON) -> DataFrame:
+    """a, b: links between doc_ids that make the same components as all pairs of at least that Jaccard similarity of
+    their sets of shingles of width words. Every group is tied by the sets themselves (XXH64 of the shingles).
+
+    Sketches tie large groups cheaply: pairs at the threshold differ in too many of 64 bits for bands, so each sketch
+    goes to several tables, keyed by some of its 256 bits. In a table's tries the first 64 bits prune and all 256 judge;
+    pairs SURE standard errors nearer than the mean of pairs at the threshold are proposed. A key with over crowd
+    sketches is joined block by block; that work grows with the square of such a key's sketches over crowd.
 
-    Pairs that near differ in too many of 64 bits for bands, so each sketch goes to several tables, keyed by some of its
-    256 bits, as many tables as leave a chance of MISS that a pair at the threshold meets in none. In a table's tries the
-    first 64 bits prune and all 256 judge: a pair SURE standard errors nearer than the mean of pairs at the threshold is
-    a link, one at most LOOSE further is a candidate. Links tie groups; candidates inside a group say nothing new, and of
-    those between two groups of a trie the nearest go on. What is left of them after all tables is judged by the exact
-    similarity of the texts. A key with over crowd sketches is joined block by block, so that none of its pairs is left
-    out; that work grows with the square of such a key's sketches over crowd.
+    Whatever sketches miss is found by shared shingles: two sets that are similar enough share one of the rarest of
+    their lowest shingles (see _postings), so all pairs that share one and are in different groups so far are judged.
+    Sets that meet in shingles of over `common` sets are clusters, all of whose pairs are counted block by block; that
+    work grows with the square of a cluster.
     """
     names = [f"s{k}" for k in range(SKETCH)]
 
     def run(batches):
         for batch in batches:
-            x = np.array([sketch(b.as_py(), width) for b in batch["body"]], dtype=np.uint64).reshape(-1, SKETCH).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), *(pa.array(c) for c in x.T)], names=["doc_id", *names])
+            sets = [np.unique(shingles(b.as_py(), width)) for b in batch["body"]]
+            x = np.array([sketch_of(h) for h in sets], dtype=np.uint64).reshape(-1, SKETCH).view(np.int64)
+            own = [pa.array([_node(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64())]
+            low = pa.array([h[: lowest(len(h), similarity)].tobytes() for h in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), *own, low, *(pa.array(c) for c in x.T)], names=["doc_id", "node", "n", "low", *names])
         release()
 
-    rows = id_and_text(docs).where("doc_id is not null").mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    rows = id_and_text(docs).where("doc_id is not null").mapInArrow(run, "doc_id long, node long, n long, low binary, " + ", ".join(f"{n} long" for n in names))
     rows = keep(rows, "sketches")
-    firsts = keep(rows.groupBy(*names).agg(F.min("doc_id").alias("doc_id")), "distinct-sketches")
-    same = rows.join(firsts.withColumnRenamed("doc_id", "first"), names).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    # equal sets are one node
+    firsts = keep(rows.groupBy("node", *names).agg(F.min("doc_id").alias("first")), "distinct-sets")
+    same = rows.select("doc_id", "node").join(firsts.select("node", "first"), "node").where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     n = max(2, firsts.count())
     agree = 1 - bit_budget(1, similarity)
     chosen = max(10, math.ceil(math.log2(n / 32)))
@@ -388,42 +420,255 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
             keys.append(F.xxhash64("key", F.lit(t), F.array(*[F.shiftrightunsigned(names[b // BITS], b % BITS).bitwiseAND(F.lit(1).cast("long")) for b in picked])))
         return d.select("doc_id", *names, F.explode(F.array(*keys)).alias("key"))
 
-    level = keep(tables(firsts.withColumn("key", F.lit(0).cast("long")), chosen, math.ceil(math.log(MISS) / math.log(1 - agree**chosen))), "tables")
+    postings = keep(_postings(rows, similarity), "postings")
+    sets = keep(_sets(docs, firsts.join(postings.select("node").distinct(), "node").select("node", "first"), width), "shingle-sets")
+    # only these sets can be similar to another
+    open_sets = firsts.join(sets.select("node"), "node", "left_semi").select(F.col("node").alias("doc_id"), *names, F.lit(0).cast("long").alias("key"))
+    level = keep(tables(open_sets, chosen, math.ceil(math.log(MISS) / math.log(1 - agree**chosen))), "tables")
     sizes = keep(level.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "table-sizes")
     few = level.join(sizes.where(F.col("n") <= crowd), "key", "left_semi")
     many = _in_blocks(level.join(sizes.where(F.col("n") > crowd), "key"), crowd)
-    found = keep(_similar(few, names, similarity).unionByName(_similar(many, names, similarity)), "similar")
+    proposed = keep(_similar(few, names, similarity).unionByName(_similar(many, names, similarity)).distinct(), "proposed")
     discard(level)
-    links = keep(same.unionByName(found.where("sure").select("a", "b")).distinct(), "sure-links")
-    return links.unionByName(_judged(docs, found.where("not sure").select("a", "b").distinct(), links, width, similarity))
+    tied = keep(_judged(proposed, sets, similarity), "sure-links")
+    groups = keep(components(tied), "tied")
+    apart = postings.join(groups, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+    apart = keep(apart, "postings-apart")
+    met = keep(apart.groupBy("token").agg(F.count(F.lit(1)).alias("met"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token", "met"), "tokens-apart")
+    rare = apart.join(met.where(F.col("met") <= common), "token", "left_semi")
+    rest = _judged(keep(_pairs_apart(rare, similarity).distinct(), "open-pairs"), sets, similarity)
+    often = apart.join(met.where(F.col("met") > common), "token", "left_semi")
+    rest = rest.unionByName(_counted(often.select("token", "node"), sets, similarity))
+    end = lambda e: firsts.select(F.col("node").alias(e), F.col("first").alias(f"{e}_doc"))
+    links = tied.unionByName(rest).join(end("a"), "a").join(end("b"), "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
+    return same.unionByName(links)
+
+
+def _node(h: np.ndarray) -> int:
+    """XXH3 of a sorted set of shingles, as a signed long; equal ones count as equal sets."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(h.tobytes())).astype(np.int64))
+
+
+TOKENS = T.StructType([T.StructField(n, T.LongType()) for n in ("token", "node", "n")])
+SHARED = T.StructType([*TOKENS.fields, T.StructField("times", T.LongType()), T.StructField("need", T.LongType())])
+
+
+def _runs_of(batches, key: str, columns: tuple[str, ...], emit, shorten=None):
+    """emit(arrays) for pieces of batches sorted by key, each with all rows of its keys; shorten may drop rows of a long run."""
+    held, size, room = [], 0, BATCH
+    for batch in batches:
+        held.append([batch[c].to_numpy() for c in columns])
+        size += batch.num_rows
+        if size < room:
+            continue
+        arrays = [np.concatenate(c) for c in zip(*held)]
+        keys = arrays[columns.index(key)]
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut:
+            yield from emit([c[:cut] for c in arrays])
+        rest = [c[cut:].copy() for c in arrays]
+        rest = shorten(rest) if shorten else rest
+        held, size = [rest], len(rest[0])
+        room = max(BATCH, 2 * size)
+    if size:
+        yield from emit([np.concatenate(c) for c in zip(*held)])
+    release()
+
+
+def _postings(rows: DataFrame, similarity: float) -> DataFrame:
+    """token, node, n: the shingles by which a set of n shingles (a node) meets all those that are similar enough.
+
+    Of two such sets, the lowest() of each have least_low() in common, those of the smaller that a set of n can meet.
+    Taken from rare to frequent, all but need - 1 of these must hold a common one; shingles of one set only come first,
+    so a set with many of its own has no postings and is similar to none.
+    """
 
+    def spread(batches):
+        names = TOKENS.names
+        for batch in batches:
+            at, n = 0, batch["n"].to_numpy()
+            low = np.minimum(n, lowest(n, similarity))
+            ends = np.cumsum(low)
+            while at < len(n):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH, side="right")))
+                tokens = np.frombuffer(b"".join(batch["low"].slice(at, to - at).to_pylist()), dtype=np.int64)
+                of = np.repeat(np.arange(at, to), low[at:to])
+                yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(batch["node"].to_numpy()[of]), pa.array(n[of])], names=names)
+                at = to
+        release()
+
+    def once(arrays):
+        token, node, n = arrays
+        order = np.lexsort((node, token))
+        token, node, n = token[order], node[order], n[order]
+        new = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
+        return [token[new], node[new], n[new]]
+
+    def emit(arrays):
+        token, node, n = once(arrays)
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        times = np.diff(np.append(first, len(token)))
+        times = np.repeat(times, times)
+        several = times > 1
+        token, node, n, times = token[several], node[several], n[several], times[several]
+        columns = [token, node, n, times, least_low(least_common(n, similarity))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=SHARED.names)
+
+    tokens = rows.select("node", "n", "low").mapInArrow(spread, TOKENS).repartition("token").sortWithinPartitions("token")
+    shared = tokens.mapInArrow(lambda batches: _runs_of(batches, "token", ("token", "node", "n"), emit, once), SHARED)
+    mine = Window.partitionBy("node")
+    placed = shared.withColumns({"place": F.row_number().over(mine.orderBy("times", "token")), "have": F.count(F.lit(1)).over(mine)})
+    return placed.where("place <= have - need + 1").select("token", "node", "n")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """node, shingles (sorted, as bytes) of the wanted (node, first: a doc_id that has it); rows may repeat."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [np.unique(shingles(b.as_py(), width)) for b in batch["body"]]
+            mine = pa.array([_node(h) == node for h, node in zip(sets, batch["node"].to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "shingles"]).filter(mine)
+        release()
 
-def _judged(docs: DataFrame, pairs: DataFrame, links: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Of the pairs (a, b) that links do not tie already, those whose texts are similar enough."""
-    groups = keep(components(links), "tied")
-    side = lambda end: groups.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
-    apart = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    open_pairs = keep(apart.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b"), "open-pairs")
     bodies = id_and_text(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    ends = open_pairs.select(F.col("a").alias("doc_id")).union(open_pairs.select("b")).distinct()
+    return bodies.join(wanted, F.col("doc_id") == F.col("first")).select("node", "body").mapInArrow(run, "node long, shingles binary")
+
+
+def _pairs_apart(postings: DataFrame, similarity: float) -> DataFrame:
+    """a, b: nodes of different roots and of like enough sizes that share a token; pairs may repeat."""
+
+    def emit(arrays):
+        token, node, n, root = arrays
+        order = np.lexsort((n, token))
+        token, node, n, root = token[order], node[order], n[order], root[order]
+        run = np.cumsum(np.concatenate([[0], token[1:] != token[:-1]]))
+        step = int(n.max()) + 1
+        most = np.minimum(step - 1, np.floor(n / similarity + 1e-6).astype(np.int64))
+        to = np.searchsorted(run * step + n, run * step + most, side="right")
+        at = np.arange(len(n))
+        names, number = np.unique(node, return_inverse=True)
+        some = to > at + 1
+        pool, size = [], 0
+        for x, y in cross(at[some], at[some] + 1, at[some] + 1, to[some]):
+            x, y = x[root[x] != root[y]], y[root[x] != root[y]]
+            pool.append(np.unique(np.maximum(number[x], number[y]) * len(names) + np.minimum(number[x], number[y])))
+            size += len(pool[-1])
+            if size > PAIRS:
+                pairs = np.unique(np.concatenate(pool))
+                pool, size = [pairs], len(pairs)
+                if size > PAIRS // 2:
+                    yield links_of(names, pairs)
+                    pool, size = [], 0
+        if pool:
+            yield links_of(names, np.unique(np.concatenate(pool)))
+
+    def links_of(names, pairs):
+        return pa.RecordBatch.from_arrays([pa.array(names[pairs // len(names)]), pa.array(names[pairs % len(names)])], names=["a", "b"])
+
+    rows = postings.repartition("token").sortWithinPartitions("token")
+    return rows.mapInArrow(lambda batches: _runs_of(batches, "token", ("token", "node", "n", "root"), emit), LINKS)
+
+
+def overlaps(sets: list[np.ndarray], few: int = 30) -> np.ndarray:
+    """How many values each two of the sets (sorted arrays without repeats) have in common; values of over few sets by
+    products of 0/1 matrices, the rest pair by pair."""
+    m = len(sets)
+    value, of = np.concatenate(sets), np.repeat(np.arange(m), [len(x) for x in sets])
+    order = np.argsort(value, kind="stable")
+    value, of = value[order], of[order]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.empty(0, dtype=np.int64)
+    last = np.append(first[1:], len(value))
+    out = np.zeros(m * m, dtype=np.int64)
+    rare = (last - first > 1) & (last - first <= few)
+    for x, y in cross(first[rare], last[rare], first[rare], last[rare]):
+        out += np.bincount(of[x] * m + of[y], minlength=m * m)
+    out = out.reshape(m, m)
+    first, last = first[last - first > few], last[last - first > few]
+    for at in range(0, len(first), 2048):
+        a, n = first[at : at + 2048], (last - first)[at : at + 2048]
+        has = np.zeros((len(a), m), dtype=np.float32)
+        row = np.repeat(np.arange(len(a)), n)
+        has[row, of[np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)]] = 1
+        out += (has.T @ has).astype(np.int64)
+    return out
+
+
+def _counted(postings: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that tie the nodes as all similar pairs of a cluster do: nodes that tokens (token, node) lead to."""
+    edges = keep(postings, "often")
+    clusters = components(edges.select(F.col("token").alias("a"), F.col("node").alias("b")))
+    members = keep(edges.select("node").distinct().join(clusters, "node").select("node", F.col("root").alias("cluster")), "clusters")
+    sizes = keep(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / SIDE).alias("blocks")), "cluster-sizes")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    dealt = members.join(sizes, "cluster").withColumns({"mine": mine, "other": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
+    cells = dealt.select("node", F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"))
+
+    def judge(nodes: list[int], held: list[np.ndarray]):
+        names, at = np.unique(np.array(nodes, dtype=np.int64), return_index=True)
+        held = [held[i] for i in at]
+        n, both, forest = np.array([len(h) for h in held]), overlaps(held), Forest(len(names))
+        x, y = np.nonzero(np.triu(both / np.maximum(1, n[:, None] + n[None, :] - both) >= similarity, 1))
+        forest.link(x, y)
+        moved = np.flatnonzero(forest.root != np.arange(len(names)))
+        return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[forest.root[moved]])], names=["a", "b"])
 
-    def hashed(batches):
+    def run(batches):
+        now, nodes, held = None, [], []
         for batch in batches:
-            sets = [np.unique(shingles(b.as_py(), width)).tobytes() for b in batch["body"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+            for cell, node, h in zip(batch["cell"].to_pylist(), batch["node"].to_pylist(), batch["shingles"]):
+                if cell != now:
+                    if nodes:
+                        yield judge(nodes, held)
+                    now, nodes, held = cell, [], []
+                nodes.append(node)
+                held.append(np.frombuffer(h.as_buffer(), dtype=np.uint64))
+        if nodes:
+            yield judge(nodes, held)
+        release()
+
+    rows = cells.join(sets, "node").select("cell", "node", "shingles").repartition("cell").sortWithinPartitions("cell")
+    return rows.mapInArrow(run, LINKS)
 
-    # rows of one id share their links; the one of the least text stands for them
-    one = bodies.join(ends, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("body").alias("body"))
-    sets = keep(one.mapInArrow(hashed, "doc_id long, shingles binary"), "shingle-sets")
-    both = open_pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
+
+def _judged(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs (a, b) those whose sets are similar enough, but for such as other pairs of their cell tie already.
+
+    Nodes are dealt to blocks, and a pair goes to the cell of its two blocks, where each set is needed once.
+    A node without a set is similar to none.
+    """
+    blocks = max(16, sets.count() // BLOCK)
+    cell = F.pmod(F.xxhash64("a"), F.lit(blocks)) * blocks + F.pmod(F.xxhash64("b"), F.lit(blocks))
+    pairs = keep(pairs.select(cell.alias("cell"), "a", "b"), "cells")
+    ends = pairs.select("cell", F.col("a").alias("node")).union(pairs.select("cell", "b")).distinct()
+    needed = ends.join(sets, "node").select("cell", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "shingles")
+    both = needed.unionByName(pairs.withColumn("shingles", F.lit(None).cast("binary")))
 
     def run(batches):
+        now, held, root = None, {}, {}
+
+        def top(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
         for batch in batches:
-            ok = [jaccard(np.frombuffer(x.as_py(), dtype=np.uint64), np.frombuffer(y.as_py(), dtype=np.uint64)) >= similarity for x, y in zip(batch["x"], batch["y"])]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            found = []
+            for c, a, b, h in zip(*(batch[k].to_pylist() for k in ("cell", "a", "b", "shingles"))):
+                if c != now:
+                    now, held, root = c, {}, {}
+                if b is None:
+                    held[a] = np.frombuffer(h, dtype=np.uint64)
+                elif a in held and b in held:
+                    x, y, s, t = top(a), top(b), len(held[a]), len(held[b])
+                    if x != y and min(s, t) >= similarity * max(s, t) - 1e-6 and jaccard(held[a], held[b]) >= similarity:
+                        root[max(x, y)] = min(x, y)
+                        found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
         release()
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, LINKS)
+    dealt = both.repartition("cell").sortWithinPartitions("cell", F.col("b").asc_nulls_first())
+    return dealt.select("cell", "a", "b", "shingles").mapInArrow(run, LINKS)
 
 
 def _in_blocks(rows: DataFrame, crowd: int) -> DataFrame:
@@ -437,64 +682,28 @@ def _in_blocks(rows: DataFrame, crowd: int) -> DataFrame:
     return rows.withColumn("key", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))).drop("n", "mine", "other")
 
 
-class Candidates:
-    """Pairs too far apart to be links and near enough to be judged later; at any time a bounded number."""
-
-    def __init__(self, room: int = 2_000_000):
-        self.x, self.y, self.bits, self.held, self.room = [], [], [], 0, room
-
-    def add(self, x: np.ndarray, y: np.ndarray, bits: np.ndarray, forest: Forest) -> None:
-        if len(x):
-            self.x.append(x), self.y.append(y), self.bits.append(bits)
-            self.held += len(x)
-        if self.held > self.room:
-            self.x, self.y, self.bits = ([v] for v in self.nearest(forest))
-            self.held = len(self.x[0])
-            self.room = max(self.room, 2 * self.held)
-
-    def nearest(self, forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the pairs between two groups of the forest, from near to far those that tie groups not tied by nearer ones."""
-        none = np.empty(0, dtype=np.int64)
-        x, y, bits = (np.concatenate(v) if v else none for v in (self.x, self.y, self.bits))
-        tied, kept = Forest(len(forest.root)), []
-        tied.root = forest.root.copy()
-        for b in np.unique(bits):
-            at = np.flatnonzero(bits == b)
-            r, s = tied.root[x[at]], tied.root[y[at]]
-            at, low, high = at[r != s], np.minimum(r, s)[r != s], np.maximum(r, s)[r != s]
-            at = at[np.unique(low * len(tied.root) + high, return_index=True)[1]]
-            kept.append(at)
-            tied.link(x[at], y[at])
-        at = np.concatenate(kept) if kept else none
-        return x[at], y[at], bits[at]
-
-
-SIMILAR = T.StructType([*LINKS.fields, T.StructField("sure", T.BooleanType())])
-
-
 def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:
-    """Links and candidates (a, b, sure) of sketches that share a key."""
-    sure, most = (int(bit_budget(SKETCH * BITS, similarity, e)) for e in (-SURE, LOOSE))
+    """Pairs (a, b) of near sketches that share a key; near pairs that others of the key tie already may be left out."""
+    sure = int(bit_budget(SKETCH * BITS, similarity, -SURE))
     first = int(bit_budget(BITS, similarity, 3))
 
     def emit(keys, ids, s):
-        order = np.lexsort((*s.T[::-1], keys))
+        order = np.lexsort((ids, *s.T[::-1], keys))
         keys, ids, s = keys[order], ids[order], s[order]
-        open_pairs, kept = Candidates(), None
+        found = []
 
         def judge(x, y, forest):
-            nonlocal kept
-            kept = forest
-            bits = np.bitwise_count(s[x] ^ s[y]).sum(axis=1, dtype=np.int32)
-            near = bits <= sure
-            maybe = ~near & (bits <= most)
-            open_pairs.add(x[maybe], y[maybe], bits[maybe], forest)
+            near = np.bitwise_count(s[x] ^ s[y]).sum(axis=1, dtype=np.int32) <= sure
+            # of the pairs between two groups so far, one
+            at = np.flatnonzero(near & (forest.root[x] != forest.root[y]))
+            r, t = forest.root[x[at]], forest.root[y[at]]
+            at = at[np.unique(np.minimum(r, t) * len(keys) + np.maximum(r, t), return_index=True)[1]]
+            found.append((x[at], y[at]))
             return near
 
-        x, y = trie_join(keys, np.ascontiguousarray(s[:, 0]), first, judge)
-        u, v = open_pairs.nearest(kept)[:2] if kept is not None else (x[:0], y[:0])
-        a, b = (ids[np.concatenate(e)] for e in ((x, u), (y, v)))
-        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b)), pa.array(np.arange(len(a)) < len(x))], names=["a", "b", "sure"])
+        trie_join(keys, np.ascontiguousarray(s[:, 0]), first, judge)
+        a, b = (ids[np.concatenate(e)] for e in zip(*found))
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
 
     def run(batches):
         held, size = [], 0
@@ -512,7 +721,7 @@ def _similar(rows: DataFrame, names: list[str], similarity: float) -> DataFrame:
             yield emit(*(np.concatenate(c) for c in zip(*held)))
         release()
 
-    return rows.select("key", "doc_id", *names).repartition("key").sortWithinPartitions("key").mapInArrow(run, SIMILAR)
+    return rows.select("key", "doc_id", *names).repartition("key").sortWithinPartitions("key").mapInArrow(run, LINKS)
 
 
 def keep_one_similar(docs: DataFrame) -> DataFrame:

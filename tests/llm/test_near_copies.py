@@ -92,3 +92,40 @@ def test_runs_of_equal_first_words_are_joined_whole():
     forest = simhash.Forest(6)
     forest.link(x, y)
     assert [forest.root[0] == forest.root[3], forest.root[1] == forest.root[2], forest.root[4] == forest.root[5], len(set(forest.root.tolist()))] == [True, True, True, 3]
+
+
+def groups_of(links, ids):
+    forest = {i: i for i in ids} | {r.node: r.root for r in simhash.components(links).collect()}
+    return [forest[i] for i in sorted(ids)]
+
+
+@pytest.mark.parametrize("common", [256, 2])
+def test_no_pair_at_the_threshold_is_left_out(spark, common):
+    rng, made = random.Random(8), {}
+    # pairs of 0.80 and a little more, next to pairs of a little less
+    for i, n in enumerate([4, 4, 5] * 120):
+        made |= {2 * i + k: t for k, t in varied(rng, [n]).items()}
+    # a crowd of copies of one text, at all distances from each other
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    for i in range(40):
+        copy = list(base)
+        for k in rng.sample(range(120), i % 5):
+            copy[k] = f"w{rng.randrange(10**6)}"
+        made[1000 + i] = " ".join(copy)
+    sets = {i: np.unique(simhash.shingles(t.encode())) for i, t in made.items()}
+    forest, ids = simhash.Forest(len(made)), sorted(made)
+    near = [(x, y) for x, a in enumerate(ids) for y, b in enumerate(ids[:x]) if a // 1000 == b // 1000 and (a >= 1000 or a // 2 == b // 2) and simhash.jaccard(sets[a], sets[b]) >= 0.8]
+    forest.link(*np.array(near).T)
+    assert 200 < sum(ids[x] < 1000 for x, _ in near) < 360
+    docs = spark.createDataFrame(list(made.items()), EMPTY).repartition(4)
+    links = simhash.similar_links(docs, common=common) if common < 256 else simhash.similar_links(docs)
+    assert groups_of(links, ids) == [ids[k] for k in forest.root]
+
+
+def test_overlaps():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40))).astype(np.uint64) for _ in range(50)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for few in (1, 10, 100):
+        got = simhash.overlaps(sets, few)
+        assert all(got[x, y] == want[x][y] for x in range(50) for y in range(50) if x != y)
