@@ -272,8 +272,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         big = both(e).join(low, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # small star: a node and its smaller neighbours go to the smallest of those
         least = big.groupBy("a").agg(F.min("b").alias("m"))
-        small = big.join(least, "a")
-        new = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+        # the smallest itself stands for the node's own link, so that the join is read once
+        new = big.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b")).distinct()
         after = keep(new, "links")
         now = stamp(after)
         done, before = now == before, now
@@ -314,8 +314,8 @@ WORDS, SIMILARITY, SKETCH, MISS = 5, 0.8, 4, 0.02
 #: Standard errors below the mean distance at the threshold up to which sketches propose a link.
 SURE = 2.0
 #: One in so many shingles must be shared among a set's lowest ones; sets of one block when pairs are judged, and when all
-#: pairs of a cluster are; nodes of a shingle from which on they are a cluster.
-SPARE, BLOCK, SIDE, COMMON = 8, 2000, 400, 256
+#: pairs of a cluster are; nodes of a shingle from which on they are a cluster; times that such nodes are dealt first.
+SPARE, BLOCK, SIDE, COMMON, TURNS = 8, 2000, 400, 256, 2
 
 
 def shingles(text: bytes, width: int = WORDS) -> np.ndarray:
@@ -389,8 +389,10 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
 
     Whatever sketches miss is found by shared shingles: two sets that are similar enough share one of the rarest of
     their lowest shingles (see _postings), so all pairs that share one and are in different groups so far are judged.
-    Sets that meet in shingles of over `common` sets are clusters, all of whose pairs are counted block by block; that
-    work grows with the square of a cluster.
+    Sets that meet in shingles of over `common` sets are crowds: they meet by the rarest of all their shingles instead,
+    and where these are of over `common` sets too, they are dealt to blocks first, TURNS times, each judged whole. That
+    ties dense crowds in work that grows with their size. What is in different groups after that is judged by all pairs,
+    block by block; only that work grows with the square of the sets of a crowd that stay apart.
     """
     names = [f"s{k}" for k in range(SKETCH)]
 
@@ -432,15 +434,23 @@ def similar_links(docs: DataFrame, width: int = WORDS, similarity: float = SIMIL
     discard(level)
     tied = keep(_judged(proposed, sets, similarity), "sure-links")
     groups = keep(components(tied), "tied")
-    apart = postings.join(groups, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
-    apart = keep(apart, "postings-apart")
-    met = keep(apart.groupBy("token").agg(F.count(F.lit(1)).alias("met"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("token", "met"), "tokens-apart")
-    rare = apart.join(met.where(F.col("met") <= common), "token", "left_semi")
-    rest = _judged(keep(_pairs_apart(rare, similarity).distinct(), "open-pairs"), sets, similarity)
-    often = apart.join(met.where(F.col("met") > common), "token", "left_semi")
-    rest = rest.unionByName(_counted(often.select("token", "node"), sets, similarity))
+    apart = _apart(postings, groups)
+    pairs = _pairs_apart(apart.where(F.col("met") <= common), similarity)
+    crowd = sets.join(keep(apart.where(F.col("met") > common).select("node").distinct(), "crowd"), "node")
+    crowd = crowd.select("node", (F.octet_length("shingles") / 8).cast("long").alias("n"), F.col("shingles").alias("low"))
+    finer = keep(_postings(crowd, similarity, whole=True), "crowd-postings")
+    apart = _apart(finer, groups)
+    for turn in range(TURNS):
+        new = keep(_dealt_once(apart.where(F.col("met") > common), sets, similarity, turn), "crowd-links")
+        if new.isEmpty():
+            break
+        groups = keep(_regrouped(groups, new), "tied")
+        apart = _apart(finer, groups)
+    pairs = pairs.unionByName(_pairs_apart(apart.where(F.col("met") <= common), similarity))
+    rest = _judged(keep(pairs.distinct(), "open-pairs"), sets, similarity)
+    rest = rest.unionByName(_counted(apart.where(F.col("met") > common), sets, similarity))
     end = lambda e: firsts.select(F.col("node").alias(e), F.col("first").alias(f"{e}_doc"))
-    links = tied.unionByName(rest).join(end("a"), "a").join(end("b"), "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
+    links = groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest).join(end("a"), "a").join(end("b"), "b").select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"))
     return same.unionByName(links)
 
 
@@ -475,19 +485,20 @@ def _runs_of(batches, key: str, columns: tuple[str, ...], emit, shorten=None):
     release()
 
 
-def _postings(rows: DataFrame, similarity: float) -> DataFrame:
+def _postings(rows: DataFrame, similarity: float, whole: bool = False) -> DataFrame:
     """token, node, n: the shingles by which a set of n shingles (a node) meets all those that are similar enough.
 
     Of two such sets, the lowest() of each have least_low() in common, those of the smaller that a set of n can meet.
     Taken from rare to frequent, all but need - 1 of these must hold a common one; shingles of one set only come first,
-    so a set with many of its own has no postings and is similar to none.
+    so a set with many of its own has no postings and is similar to none. If whole, low has all shingles of a set, which
+    have least_common() in common.
     """
 
     def spread(batches):
         names = TOKENS.names
         for batch in batches:
             at, n = 0, batch["n"].to_numpy()
-            low = np.minimum(n, lowest(n, similarity))
+            low = n if whole else np.minimum(n, lowest(n, similarity))
             ends = np.cumsum(low)
             while at < len(n):
                 to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH, side="right")))
@@ -511,7 +522,8 @@ def _postings(rows: DataFrame, similarity: float) -> DataFrame:
         times = np.repeat(times, times)
         several = times > 1
         token, node, n, times = token[several], node[several], n[several], times[several]
-        columns = [token, node, n, times, least_low(least_common(n, similarity))]
+        need = least_common(n, similarity)
+        columns = [token, node, n, times, need if whole else least_low(need)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=SHARED.names)
 
     tokens = rows.select("node", "n", "low").mapInArrow(spread, TOKENS).repartition("token").sortWithinPartitions("token")
@@ -594,40 +606,96 @@ def overlaps(sets: list[np.ndarray], few: int = 30) -> np.ndarray:
     return out
 
 
+def _apart(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """token, node, n, root, met (nodes of the token): the postings of tokens that lead to several groups (node, root)."""
+    placed = postings.join(groups, "node", "left").select("token", "node", "n", F.coalesce("root", "node").alias("root"))
+    placed = keep(placed, "postings-apart")
+    met = placed.groupBy("token").agg(F.count(F.lit(1)).alias("met"), F.min("root").alias("x"), F.max("root").alias("y"))
+    met = keep(met.where("x <> y").select("token", "met"), "tokens-apart")
+    apart = keep(placed.join(met, "token"), "met-apart")
+    discard(placed)
+    discard(met)
+    return apart
+
+
+def _regrouped(groups: DataFrame, new: DataFrame) -> DataFrame:
+    """node, root: the groups after links (a, b) between their roots; a group's root itself has no row."""
+    parts = keep(components(new), "roots-tied")
+    old = groups.join(parts.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    return old.select("node", F.coalesce("to", "root").alias("root")).unionByName(parts)
+
+
+def _dealt_once(postings: DataFrame, sets: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """Links (a, b) between roots, from each node (token, node, root, met) meeting one block of its most frequent token."""
+    homes = postings.groupBy("node", "root").agg(F.max(F.struct("met", "token")).getField("token").alias("home"))
+    homes = keep(homes, "homes")
+    sizes = keep(homes.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / (2 * SIDE)).alias("blocks")), "home-sizes")
+    mine = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("blocks"))
+    return _blockwise(homes.join(sizes, "home").select("node", "root", F.xxhash64("home", mine).alias("cell")), sets, similarity)
+
+
+def _cells(postings: DataFrame) -> DataFrame:
+    """node, root, cell: nodes that tokens (token, node, root) lead to from each other meet in a cell, unless of one root.
+
+    A cluster's nodes are dealt to blocks, and two blocks make a cell. A root of over SIDE nodes has blocks of its own,
+    which do not meet each other.
+    """
+    members = keep(postings.select("node", "root").distinct(), "members")
+    clusters = keep(components(postings.select(F.col("token").alias("a"), F.col("root").alias("b")).distinct()), "clusters")
+    clusters = clusters.select(F.col("node").alias("root"), F.col("root").alias("cluster"))
+    # the smallest end of a cluster has no row of its own
+    roots = members.groupBy("root").agg(F.count(F.lit(1)).alias("many")).join(clusters, "root", "left")
+    own = F.col("many") > SIDE
+    roots = roots.select("root", F.coalesce("cluster", "root").alias("cluster"), "many", own.alias("own"), F.when(own, F.col("root")).otherwise(0).alias("lane"))
+    roots = keep(roots, "cluster-roots")
+    lanes = keep(roots.groupBy("cluster", "own", "lane").agg(F.ceil(F.sum("many") / SIDE).alias("blocks")), "lanes")
+    block = F.xxhash64("cluster", "own", "lane", "number")
+    blocks = lanes.withColumn("number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    blocks = keep(blocks.select("cluster", "own", "lane", block.alias("block")), "blocks")
+    other = blocks.select("cluster", *[F.col(c).alias(f"{c}2") for c in ("own", "lane", "block")])
+    met = blocks.join(other, "cluster").where("not own or not own2 or lane <> lane2")
+    met = met.select("block", F.xxhash64(F.least("block", "block2"), F.greatest("block", "block2")).alias("cell"))
+    places = members.join(roots.join(lanes, ["cluster", "own", "lane"]).drop("many"), "root")
+    places = places.withColumn("number", F.pmod(F.xxhash64("node"), F.col("blocks"))).select("node", "root", block.alias("block"))
+    return keep(places, "places").join(keep(met, "block-pairs"), "block").select("node", "root", "cell")
+
+
 def _counted(postings: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) that tie the nodes as all similar pairs of a cluster do: nodes that tokens (token, node) lead to."""
-    edges = keep(postings, "often")
-    clusters = components(edges.select(F.col("token").alias("a"), F.col("node").alias("b")))
-    members = keep(edges.select("node").distinct().join(clusters, "node").select("node", F.col("root").alias("cluster")), "clusters")
-    sizes = keep(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / SIDE).alias("blocks")), "cluster-sizes")
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    dealt = members.join(sizes, "cluster").withColumns({"mine": mine, "other": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
-    cells = dealt.select("node", F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"))
-
-    def judge(nodes: list[int], held: list[np.ndarray]):
-        names, at = np.unique(np.array(nodes, dtype=np.int64), return_index=True)
-        held = [held[i] for i in at]
-        n, both, forest = np.array([len(h) for h in held]), overlaps(held), Forest(len(names))
-        x, y = np.nonzero(np.triu(both / np.maximum(1, n[:, None] + n[None, :] - both) >= similarity, 1))
-        forest.link(x, y)
+    """Links (a, b) between roots that tie as all similar pairs of a cluster do: nodes that tokens (token, node, root) lead to."""
+    return _blockwise(_cells(postings), sets, similarity)
+
+
+def _blockwise(cells: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between roots that tie as all similar pairs of a cell's nodes (node, root, cell) do."""
+
+    def judge(nodes: list[int], roots: list[int], held: list[np.ndarray]):
+        names, of = np.unique(np.array(roots, dtype=np.int64), return_inverse=True)
+        forest = Forest(len(names))
+        if len(names) > 1:
+            at = np.unique(np.array(nodes, dtype=np.int64), return_index=True)[1]
+            of, held = of[at], [held[i] for i in at]
+            n, both = np.array([len(h) for h in held]), overlaps(held)
+            x, y = np.nonzero(np.triu(both / np.maximum(1, n[:, None] + n[None, :] - both) >= similarity, 1))
+            forest.link(of[x], of[y])
         moved = np.flatnonzero(forest.root != np.arange(len(names)))
         return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[forest.root[moved]])], names=["a", "b"])
 
     def run(batches):
-        now, nodes, held = None, [], []
+        now, nodes, roots, held = None, [], [], []
         for batch in batches:
-            for cell, node, h in zip(batch["cell"].to_pylist(), batch["node"].to_pylist(), batch["shingles"]):
+            for cell, node, root, h in zip(*(batch[k].to_pylist() for k in ("cell", "node", "root")), batch["shingles"]):
                 if cell != now:
                     if nodes:
-                        yield judge(nodes, held)
-                    now, nodes, held = cell, [], []
+                        yield judge(nodes, roots, held)
+                    now, nodes, roots, held = cell, [], [], []
                 nodes.append(node)
+                roots.append(root)
                 held.append(np.frombuffer(h.as_buffer(), dtype=np.uint64))
         if nodes:
-            yield judge(nodes, held)
+            yield judge(nodes, roots, held)
         release()
 
-    rows = cells.join(sets, "node").select("cell", "node", "shingles").repartition("cell").sortWithinPartitions("cell")
+    rows = cells.join(sets, "node").select("cell", "node", "root", "shingles").repartition("cell").sortWithinPartitions("cell")
     return rows.mapInArrow(run, LINKS)
 
 

@@ -129,3 +129,70 @@ def test_overlaps():
     for few in (1, 10, 100):
         got = simhash.overlaps(sets, few)
         assert all(got[x, y] == want[x][y] for x in range(50) for y in range(50) if x != y)
+
+
+def crowd_of(rng: random.Random, many: int, edits: int = 5, words: int = 120) -> dict[int, str]:
+    """Copies of one text, each with fewer than so many words changed."""
+    base, made = [f"w{rng.randrange(10**6)}" for _ in range(words)], {}
+    for i in range(many):
+        copy = list(base)
+        for k in rng.sample(range(words), i % edits):
+            copy[k] = f"w{rng.randrange(10**6)}"
+        made[i] = " ".join(copy)
+    return made
+
+
+def similar_groups(made: dict[int, str]) -> list[int]:
+    sets = {i: np.unique(simhash.shingles(t.encode())) for i, t in made.items()}
+    forest, ids = simhash.Forest(len(made)), sorted(made)
+    near = [(x, y) for x, a in enumerate(ids) for y, b in enumerate(ids[:x]) if simhash.jaccard(sets[a], sets[b]) >= 0.8]
+    forest.link(*np.array(near).T)
+    return [ids[k] for k in forest.root]
+
+
+def test_links_of_a_crowd_do_not_grow_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SURE", 1000)  # no link by sketches
+    monkeypatch.setattr(simhash, "SIDE", 4)
+    made = crowd_of(random.Random(21), 160)
+    links = simhash.similar_links(spark.createDataFrame(list(made.items()), EMPTY).repartition(4), common=4)
+    want = similar_groups(made)
+    assert max(want.count(r) for r in set(want)) > 100
+    assert links.distinct().count() < 2 * len(made)
+    assert groups_of(links, made) == want
+
+
+def test_the_smallest_of_a_cluster_is_tied(spark):
+    sets = {k: np.append(np.arange(10), np.arange(10, 9 + k)).astype(np.uint64) for k in (1, 2, 3)}
+    held = spark.createDataFrame([(k, h.tobytes()) for k, h in sets.items()], "node long, shingles binary")
+    postings = spark.createDataFrame([(100, k, k) for k in sets], "token long, node long, root long")
+    assert groups_of(simhash._counted(postings, held, 0.8), sets) == [1, 1, 1]
+
+
+def test_a_passage_in_common_makes_no_crowd(spark):
+    rng, made = random.Random(23), crowd_of(random.Random(24), 12, 3)
+    passage = [f"p{k}" for k in range(60)]
+    made |= {100 + i: " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(60)]) for i in range(30)}
+    sets = {i: np.unique(simhash.shingles(t.encode())) for i, t in made.items()}
+    rows = spark.createDataFrame([(i, len(h), h.tobytes()) for i, h in sets.items()], "node long, n long, low binary")
+    tokens = {}
+    for r in simhash._postings(rows, 0.8, whole=True).collect():
+        tokens.setdefault(r.node, set()).add(r.token)
+    near = [(a, b) for a in sets for b in sets if a < b and simhash.jaccard(sets[a], sets[b]) >= 0.8]
+    assert len(near) > 20 and all(tokens[a] & tokens[b] for a, b in near)
+    assert max(tokens) < 100
+
+
+def test_cells_hold_all_pairs_of_different_roots_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SIDE", 5)
+    rng = random.Random(25)
+    # nodes of a large root, of small ones, and of a cluster apart
+    root = {i: 1 if i < 200 else i - i % 2 for i in range(1, 230)}
+    of = {i: 1000 + (i >= 220) for i in root}
+    rows = [(of[i], i, root[i]) for i in root] + [(2000 + rng.randrange(3), i, root[i]) for i in range(1, 220)]
+    cells = {}
+    for r in simhash._cells(spark.createDataFrame(rows, "token long, node long, root long")).collect():
+        cells.setdefault(r.cell, set()).add(r.node)
+    met = {(a, b) for c in cells.values() for a in c for b in c}
+    assert all(((a, b) in met) or root[a] == root[b] or (a < 220) != (b < 220) for a in root for b in root)
+    # 40 blocks and more of the large root do not meet each other
+    assert len(cells) < 40 * 40 / 4
