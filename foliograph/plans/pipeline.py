@@ -68,7 +68,7 @@ def build(spans: DataFrame, body_size: float = 9.0, form: str = FORM) -> dict[st
     claims = settled(C.topic_keys(built.where("rejection is null")))
     walk = C.crosswalk(built)
     precedence = settled(C.claim_precedence(claims))
-    resolved, groups_ = C.resolve(claims, precedence)
+    resolved, groups_ = C.resolve_in_order(claims)
     resolved = settled(resolved)
     directives, compiled = C.compile_directives(resolved)
     authorities = refs.where("ref_type <> 'box_reference'").withColumn("authority_id", F.coalesce(canonical_authority(F.col("ref_text")), stable_id("authority:raw:", [F.col("ref_text")])))

@@ -71,3 +71,59 @@ def test_directives_and_gates(make, spark):
 def test_null_topic_parts(make):
     got = C.topic_keys(make(claim("a"))).first()
     assert got.topic_key == "defines|scope:s" and got.topic_key_source == "fallback_scope" and got.topic_key_parts == ["defines", "", ""]
+
+
+def odd_claims(spark, n=600):
+    import random
+
+    r = random.Random(5)
+    pick = lambda *xs: r.choice(xs)
+    rows = [
+        (f"c{i}", pick(None, *[f"s{k}" for k in range(40)]), pick(None, *"tuv"), pick("canonical_ids", "fallback_scope"), pick(None, "defines", "excludes", "requires"), pick(None, "a", "b"), pick(None, 0, 1, 9), pick(None, 0, 5), 8, pick(None, "rule", "However so"), None, "o")
+        for i in range(n)
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("limits", [None, {"defines": 0, "excludes": 0}])
+def test_own_order_resolves_like_its_edges(spark, limits):
+    c = odd_claims(spark)
+    general, own = C.resolve(c, C.claim_precedence(c, limits), limits), C.resolve_in_order(c, limits)
+    assert all(rows_of(a) == rows_of(b) for a, b in zip(general, own))
+    if limits:
+        assert {"RESOLVED", "SKIP_SINGLETON", "SKIP_NO_EDGES", "ERROR_GRAPH"} == {g.group_status for g in own[1].collect()}
+
+
+def test_own_order_moves_claims_once_and_writes_nothing(spark):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    count = lambda: sum(len(files) for _, _, files in os.walk(folder))
+    before = count()
+    c = odd_claims(spark)
+    r, g = C.resolve_in_order(c)
+    for d in (r, g, C.status_counts(r), C.compile_directives(r)[1]):
+        assert d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert count() == before
+
+
+def test_gates_in_one_pass_are_those_one_by_one(spark):
+    c = odd_claims(spark)
+    r, g = C.resolve_in_order(c)
+    d, _ = C.compile_directives(r)
+    p = C.claim_precedence(c)
+    each = [Q.chain_order(p, r), Q.precedence_dag(p), Q.deterministic(r, r.repartition(3)), Q.trace_completeness(r), Q.nonempty(d, "V26"), Q.support(d), Q.ir_schema(d), Q.rank_integrity(r), Q.outcome_coverage(r), Q.competition(c)]
+    again, _ = C.resolve_in_order(c.repartition("precedence_scope_id"))
+    once = [Q.order_gates(p, r), Q.resolution_gates(r, again), Q.outcomes(r), Q.competition_of(g)]
+    assert rows_of(Q.report(each)) == rows_of(Q.report(once))
+    # a run that differs fails, and a circle is found
+    assert {x.gate_id: x.passed for x in Q.resolution_gates(r, again.where("rank > 1")).collect()}["V24"] is False
+    ring = [("a", "b", "precedes", "s", 1, "defines|scope:s"), ("b", "a", "precedes", "s", 1, "defines|scope:s")]
+    two = spark.createDataFrame([claim("a", 0), claim("b", 1)], SCHEMA)
+    p = spark.createDataFrame(ring, EDGE)
+    got = {x.gate_id: (x.passed, x.total) for x in Q.order_gates(p, C.resolve_in_order(two)[0]).collect()}
+    assert got == {"V12": (False, 2), "V13": (False, 2)}
